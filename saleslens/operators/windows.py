@@ -112,7 +112,8 @@ def neighbor_median(df: DataFrame, year: str, value: str, reach: int = 2, min_ne
     explode of 2 * reach offsets, so the self join is an equi join.
     """
     offsets = [o for o in range(-reach, reach + 1) if o]
-    offered = df.select((F.col(year) + F.explode(F.array(*[F.lit(o) for o in offsets]))).alias(year), F.col(value).alias("_v"))
+    offered = df.select(
+        F.explode(F.array(*[F.col(year) + o for o in offsets])).alias(year), F.col(value).alias("_v"))
     around = offered.groupBy(year).agg(F.median("_v").alias("neighbor_median"), F.count("_v").alias("n_neighbors"))
     ref = F.col("neighbor_median")
     off = (F.col("n_neighbors") >= min_neighbors) & (ref != 0) & (F.abs(ratio(F.col(value) - ref, ref)) > threshold)

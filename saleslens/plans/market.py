@@ -248,10 +248,10 @@ def reason_mix(t: Tables) -> DataFrame:
     tagged = per_product.join(t.products.select("product_id", "category"), "product_id", "left").join(quads, "product_id", "left")
     fine = tagged.groupBy("category", "quadrant", "return_reason").agg(F.sum("n").alias("n"))
     cell = F.concat_ws("|", "category", "quadrant")
-    views = F.array(
-        F.struct(F.lit("all").alias("grain"), F.lit("all").alias("cell")),
-        F.struct(F.lit("category"), F.col("category")), F.struct(F.lit("quadrant"), F.col("quadrant")),
-        F.struct(F.lit("both"), F.when(F.col("category").isNotNull() & F.col("quadrant").isNotNull(), cell)))
+    both = F.when(F.col("category").isNotNull() & F.col("quadrant").isNotNull(), cell)
+    views = F.array(*[
+        F.struct(F.lit(grain).alias("grain"), value.alias("cell")) for grain, value in (
+            ("all", F.lit("all")), ("category", F.col("category")), ("quadrant", F.col("quadrant")), ("both", both))])
     long = fine.withColumn("v", F.explode(views)).where(F.col("v.cell").isNotNull())
     counts = long.groupBy(F.col("v.grain").alias("grain"), F.col("v.cell").alias("cell"), "return_reason").agg(F.sum("n").alias("n"))
     return counts.withColumn("pct", pct("n", F.sum("n").over(W.partitionBy("grain", "cell"))))

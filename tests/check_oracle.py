@@ -27,8 +27,9 @@ def connect(folder: str):
 
 
 def norm(v):
-    if isinstance(v, float) and math.isnan(v):
-        return "NaN"
+    """Floats by their exact text, so that also -0.0 and 0.0 differ."""
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else repr(v)
     return v
 
 
