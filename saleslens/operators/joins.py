@@ -77,11 +77,16 @@ def nearest_marks(days: DataFrame, marks: DataFrame, date: str = "date", missing
     }).drop("d", "real", "p", "p_real")
 
 
-def next_start_within(days: DataFrame, starts: DataFrame, start: str, lookahead: int, date: str = "date") -> DataFrame:
-    """All pairs of a day and a start 1..lookahead days later, with the distance."""
+def days_before_start(starts: DataFrame, start: str, lookahead: int, date: str = "date") -> DataFrame:
+    """Each start with the ``lookahead`` days before it and the days left."""
     ahead = starts.withColumn(
         date, F.explode(day_range(F.date_sub(start, lookahead), F.date_sub(start, 1))))
-    return days.join(ahead, date).withColumn("days_to", F.datediff(start, date))
+    return ahead.withColumn("days_to", F.datediff(start, date))
+
+
+def next_start_within(days: DataFrame, starts: DataFrame, start: str, lookahead: int, date: str = "date") -> DataFrame:
+    """All pairs of a day and a start 1..lookahead days later, with the distance."""
+    return days.join(days_before_start(starts, start, lookahead, date), date)
 
 
 def shifted_value(df: DataFrame, date: str, value: str, days: int, name: str, keys: list[str] | None = None) -> DataFrame:

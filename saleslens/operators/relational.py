@@ -124,9 +124,10 @@ def first_value_per_key(df: DataFrame, key: str, value: str, order: list[str]) -
     return df.groupBy(key).agg(F.min(seen).alias("_row")).select(key, F.col("_row")[value].alias(value))
 
 
-def mode_per_key(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
-    """Most frequent value per key; ties go to the smaller value."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+def mode_per_key(df: DataFrame, key: str, value: str, name: str, weight: str | None = None) -> DataFrame:
+    """Most frequent value per key, rows counted once or by a weight; ties go to the smaller value."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(n.alias("_n"))
     return counts.groupBy(key).agg(F.min_by(F.col(value), F.struct(-F.col("_n"), F.col(value))).alias(name))
 
 

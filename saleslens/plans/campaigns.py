@@ -16,6 +16,8 @@ from ..operators.joins import days_in_any, member_flag, overlap_flag
 from ..operators.relational import mode_per_key
 from ..operators.windows import change_from_previous, neighbor_median
 from ..sources import Tables
+from ..sources.files import materialize
+from .customers import promo_order_ids
 from .revenue import base_lines, live_orders, order_money
 
 
@@ -164,13 +166,13 @@ def campaign_effect(daily: DataFrame, with_baseline: DataFrame, spend: DataFrame
 
 
 def weighted_effects(t: Tables) -> DataFrame:
-    daily = daily_profit(t)
-    return campaign_effect(daily, weighted_baseline(daily, t.promotions), discount_spend(t))
+    daily, promos = materialize(daily_profit(t), "daily"), t.stored("promotions")
+    return campaign_effect(daily, weighted_baseline(daily, promos), discount_spend(t))
 
 
 def tiered_effects(t: Tables) -> DataFrame:
-    daily = live_daily_revenue(t)
-    return campaign_effect(daily, tiered_baseline(daily, t.promotions), discount_spend(t))
+    daily, promos = materialize(live_daily_revenue(t), "daily"), t.stored("promotions")
+    return campaign_effect(daily, tiered_baseline(daily, promos), discount_spend(t))
 
 
 def campaign_summary(effects: DataFrame) -> DataFrame:
@@ -216,12 +218,19 @@ def campaign_pick(effects: DataFrame) -> DataFrame:
 def promo_depth(t: Tables) -> DataFrame:
     """Per campaign: mean discount and margin of its discounted lines, and their main category."""
     lines = base_lines(t).where(F.col("has_promo") & F.col("promo_id").isNotNull())
-    stats = lines.groupBy("promo_id").agg(
-        (F.avg("discount_rate") * 100).alias("avg_discount_rate"), (F.avg("margin_rate") * 100).alias("avg_margin_rate"),
-        exact_sum("revenue_line").alias("total_revenue"), F.countDistinct("order_id").alias("num_orders"))
+    # Sums per campaign, category and segment give the means and both modes.
+    fine = materialize(lines.groupBy("promo_id", "category", "segment").agg(
+        F.sum("discount_rate").alias("d"), F.count("discount_rate").alias("dn"),
+        F.sum("margin_rate").alias("m"), F.count("margin_rate").alias("mn"),
+        exact_sum("revenue_line").alias("revenue"), F.count(F.lit(1)).alias("n")), "promo-depth")
+    stats = fine.groupBy("promo_id").agg(
+        (ratio(F.sum("d"), F.sum("dn")) * 100).alias("avg_discount_rate"),
+        (ratio(F.sum("m"), F.sum("mn")) * 100).alias("avg_margin_rate"), exact_sum("revenue").alias("total_revenue"))
+    orders = lines.groupBy("promo_id").agg(F.countDistinct("order_id").alias("num_orders"))
     return (
-        stats.join(mode_per_key(lines, "promo_id", "category", "category"), "promo_id")
-        .join(mode_per_key(lines, "promo_id", "segment", "segment"), "promo_id")
+        stats.join(orders, "promo_id")
+        .join(mode_per_key(fine, "promo_id", "category", "category", weight="n"), "promo_id")
+        .join(mode_per_key(fine, "promo_id", "segment", "segment", weight="n"), "promo_id")
         .dropna(subset=["avg_discount_rate", "avg_margin_rate"])
     )
 
@@ -241,7 +250,7 @@ def break_even(depth: DataFrame, min_points: int = 4) -> DataFrame:
 
 def discount_depth_margin(t: Tables, n_worst: int = 5) -> DataFrame:
     """Campaign depth and margin with the break-even of the category and a worst flag."""
-    depth = promo_depth(t)
+    depth = materialize(promo_depth(t), "depth")  # one row per campaign, read three times
     worst = depth.where(F.col("avg_margin_rate") < 0).orderBy("avg_margin_rate", "promo_id").limit(n_worst)
     return member_flag(depth.join(break_even(depth), "category", "left"), worst, "promo_id", "is_worst")
 
@@ -251,7 +260,7 @@ def promo_penetration(t: Tables) -> DataFrame:
 
     The flag is reduced to one value per order before it meets all orders.
     """
-    windows = t.promotions.select("promo_id", "start_date", "end_date")
+    windows = t.stored("promotions").select("promo_id", "start_date", "end_date")
     valid = t.lines.where(F.col("promo_id").isNotNull()).join(windows, "promo_id").where(
         F.col("order_date").between(F.col("start_date"), F.col("end_date")))
     flagged = member_flag(t.orders.select("order_id", "order_date"), valid, "order_id", "has_promo")
@@ -265,8 +274,8 @@ def promo_penetration(t: Tables) -> DataFrame:
 def quarter_promo_share(t: Tables, years: list[int]) -> DataFrame:
     """Share of orders with a promotion or discount in the peak and the low quarter."""
     month = F.month("order_date")
-    used = t.lines.where(F.col("promo_id").isNotNull() | (F.coalesce("discount_amount", F.lit(0.0)) > 0))
-    orders = t.orders.select("order_id", F.year("order_date").alias("year"), F.when(
+    used = promo_order_ids(t, "either")
+    orders = t.orders_between(f"{min(years)}-01-01", f"{max(years)}-12-31").select("order_id", F.year("order_date").alias("year"), F.when(
         month.isin(4, 5, 6), "Q2 Peak").when(month.isin(10, 11, 12), "Q4 Low").alias("season"))
     picked = orders.where(F.col("year").isin(years) & F.col("season").isNotNull())
     return member_flag(picked, used, "order_id", "used_promo").groupBy("year", "season").agg(
@@ -278,10 +287,11 @@ def promo_vs_no_promo(t: Tables) -> DataFrame:
     """Revenue net of discount and refund, order value, penetration and frequency by year."""
     refunds = t.returns.groupBy("order_id").agg(exact_sum("refund_amount").alias("refund"))
     net = F.col("unit_price") * F.col("quantity") - F.coalesce("discount_amount", F.lit(0.0))
+    # Lines shrink to one row per order before they meet the orders.
+    money = t.items.groupBy("order_id").agg(exact_sum(net).alias("net"), F.bool_or("has_promo_id").alias("has_promo"))
+    orders = live_orders(t.orders).select("order_id", "customer_id", F.year("order_date").alias("year"))
     per_order = (
-        live_orders(t.lines).groupBy("order_id", "customer_id", F.year("order_date").alias("year"))
-        .agg(exact_sum(net).alias("net"), F.bool_or(F.col("promo_id").isNotNull()).alias("has_promo"))
-        .join(refunds, "order_id", "left")
+        orders.join(money, "order_id").join(refunds, "order_id", "left")
         .withColumn("revenue", F.col("net") - F.coalesce("refund", F.lit(0.0)))
     )
     split = per_order.groupBy("year", "has_promo").agg(

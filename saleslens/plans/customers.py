@@ -18,6 +18,7 @@ from ..operators.order_stats import exact_quantiles, top_fraction
 from ..operators.relational import dedup_first
 from ..operators.windows import change_from_previous, day_gaps, first_event
 from ..sources import Tables
+from ..sources.files import materialize
 from .revenue import base_lines, live_orders, order_money, orders_with_revenue
 
 
@@ -28,13 +29,12 @@ def first_orders(orders: DataFrame) -> DataFrame:
 def promo_order_ids(t: Tables, rule: str) -> DataFrame:
     """Orders that used a promotion: ``promo_id``, ``any_id``, ``discount`` or ``either``."""
     rules = {
-        "promo_id": F.col("promo_id").isNotNull(),
-        "any_id": F.col("promo_id").isNotNull() | F.col("promo_id_2").isNotNull(),
+        "promo_id": F.col("has_promo_id"),
+        "any_id": F.col("has_promo_id") | F.col("has_promo_id_2"),
         "discount": F.col("discount_amount") > 0,
-        "either": F.col("promo_id").isNotNull() | (F.col("discount_amount") > 0),
+        "either": F.col("has_promo_id") | (F.col("discount_amount") > 0),
     }
-    source = t.items if rule == "discount" else t.lines
-    return source.where(rules[rule]).select("order_id").distinct()
+    return t.items.where(rules[rule]).select("order_id").distinct()
 
 
 def cohort_by_first_order(t: Tables, orders: DataFrame, rule: str = "any_id") -> DataFrame:
@@ -46,7 +46,7 @@ def cohort_by_first_order(t: Tables, orders: DataFrame, rule: str = "any_id") ->
 
 def cohort_by_campaign_day(t: Tables, orders: DataFrame) -> DataFrame:
     """First orders with ``is_promo``: the first order day lies in a campaign."""
-    days = days_in_any(t.promotions, "start_date", "end_date", "first_order_date")
+    days = days_in_any(t.stored("promotions"), "start_date", "end_date", "first_order_date")
     return member_flag(first_orders(orders), days, "first_order_date", "is_promo")
 
 
@@ -77,7 +77,8 @@ def customer_year_revenue(t: Tables) -> DataFrame:
 
 def revenue_concentration(t: Tables, fraction: float = 0.1) -> DataFrame:
     """Share of the top customers in the revenue of each year."""
-    spend = customer_year_revenue(t).withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
+    # Read twice: for the totals and for the thresholds.
+    spend = materialize(customer_year_revenue(t).withColumn("revenue", F.coalesce("revenue", F.lit(0.0))), "spend")
     total = spend.groupBy("year").agg(F.count(F.lit(1)).alias("n_customers"), exact_sum("revenue").alias("total_revenue"))
     top = top_fraction(spend, ["year"], "revenue", "customer_id", fraction).groupBy("year").agg(
         F.count(F.lit(1)).alias("n_top"), exact_sum("revenue").alias("top_revenue"))
@@ -108,7 +109,7 @@ def yearly_kpis(t: Tables) -> DataFrame:
     """Customers, orders, orders per customer, order value and their yearly changes."""
     per_year = t.orders.groupBy(F.year("order_date").alias("year")).agg(
         F.countDistinct("customer_id").alias("customers"), F.countDistinct("order_id").alias("orders_cnt"))
-    revenue = t.sales.groupBy(F.year("date").alias("year")).agg(exact_sum("revenue").alias("revenue"))
+    revenue = t.revenue_by_day.groupBy(F.year("date").alias("year")).agg(exact_sum("revenue").alias("revenue"))
     out = per_year.join(revenue, "year", "left").withColumns({
         "opc": ratio("orders_cnt", "customers"), "aov": ratio("revenue", "orders_cnt")})
     for c in ("customers", "opc", "aov"):
@@ -120,8 +121,9 @@ def yearly_kpis(t: Tables) -> DataFrame:
 def region_orders_per_customer(t: Tables, years: Sequence[int]) -> DataFrame:
     """Orders per customer by region and year, wide, with the drop from the first year."""
     geo = dedup_first(t.geography, ["zip"], [F.col("region")])
+    span = t.orders_between(f"{min(years)}-01-01", f"{max(years)}-12-31")
     per = (
-        t.orders_geo.withColumn("year", F.year("order_date")).where(F.col("year").isin(list(years)))
+        t.with_zip(span).withColumn("year", F.year("order_date")).where(F.col("year").isin(list(years)))
         .join(geo, "zip", "left").where(F.col("region").isNotNull())
         .groupBy("year", "region")
         .agg(F.countDistinct("customer_id").alias("c"), F.countDistinct("order_id").alias("o"))
@@ -288,7 +290,8 @@ def net_value(t: Tables) -> DataFrame:
 def net_clv_by_cohort(t: Tables, cap: float = 0.97) -> DataFrame:
     """Median customer value per cohort, capped at a quantile of all customers."""
     cohorts = cohort_by_campaign_day(t, live_orders(t.orders)).select("customer_id", "is_promo")
-    values = cohorts.join(net_value(t), "customer_id").where(F.col("net_clv").isNotNull())
+    # One row per customer, read for the cap, the sizes and the medians.
+    values = materialize(cohorts.join(net_value(t), "customer_id").where(F.col("net_clv").isNotNull()), "clv")
     limit = exact_quantiles(values, [], "net_clv", {"q": cap}).scalar()
     capped = values.withColumn("capped", F.least(F.col("net_clv"), limit))
     sizes = values.groupBy("is_promo").agg(F.count(F.lit(1)).alias("n_customers"))
@@ -366,11 +369,13 @@ def cohort_yearly_value(t: Tables) -> DataFrame:
 
 def promo_stats(t: Tables, windows: Sequence[int] = (30, 60, 90), min_orders: int = 30) -> DataFrame:
     """Per campaign: discount rate, return rate, and share of buyers back within N days after it."""
-    promos = t.promotions.select("promo_id", "end_date")
-    lines = live_orders(t.lines).where(F.col("promo_id").isNotNull())
-    money = lines.groupBy("promo_id").agg(
-        exact_sum("discount_amount").alias("discount"), exact_sum(F.col("unit_price") * F.col("quantity")).alias("listed"))
-    pairs = lines.select("promo_id", "order_id", "customer_id").distinct()
+    promos = t.stored("promotions").select("promo_id", "end_date")
+    # One row per campaign and order carries everything that follows; written once.
+    pairs = materialize(
+        live_orders(t.lines).where(F.col("promo_id").isNotNull()).groupBy("promo_id", "order_id", "customer_id").agg(
+            exact_sum("discount_amount").alias("discount"),
+            exact_sum(F.col("unit_price") * F.col("quantity")).alias("listed")), "promo-orders")
+    money = pairs.groupBy("promo_id").agg(exact_sum("discount").alias("discount"), exact_sum("listed").alias("listed"))
     returned = member_flag(pairs.select("promo_id", "order_id").distinct(), t.returns, "order_id", "is_returned")
     per_orders = returned.groupBy("promo_id").agg(
         F.count(F.lit(1)).alias("num_orders"), F.count_if("is_returned").alias("n_returned"))

@@ -10,6 +10,7 @@ from ..operators.joins import calendar, left_chain
 from ..operators.relational import line_revenue
 from ..operators.windows import forward_fill
 from ..sources import Tables
+from ..sources.files import materialize
 
 
 def items_per_order(items: DataFrame) -> DataFrame:
@@ -76,6 +77,21 @@ def inventory_snapshots(inventory: DataFrame, keys: list[str] | None = None) ->
     )
 
 
+def product_days(t: Tables, last_known: str | None = None) -> DataFrame:
+    """Lines joined with their order once, summed per order day and product.
+
+    Sales, shipments and inventory of the base table all derive from it, so the
+    large join of lines and orders is made once.
+    """
+    raw = t.raw("lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("delivery_date"),
+        F.col("l_quantity").cast("int").alias("quantity"), F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"))
+    orders = t.orders_between(last=last_known).select("order_id", "order_date")
+    return raw.join(orders, "order_id").groupBy(F.col("order_date").alias("date"), "product_id").agg(
+        exact_sum(F.col("unit_price") * F.col("quantity")).alias("revenue"), F.sum("quantity").alias("quantity"),
+        F.sum(F.datediff("delivery_date", "order_date")).alias("delivery_days"), F.count("delivery_date").alias("n_shipped"))
+
+
 INVENTORY_COLUMNS = ["avg_fill_rate", "avg_stockout_days", "pct_stockout_skus", "avg_sell_through"]
 
 
@@ -96,17 +112,24 @@ def base_table(t: Tables, last_known: str | None = None, horizon_days: int = 0)
     skeleton = calendar(ends, "date")
     known = calendar(orders.select(F.col("order_date").alias("date")), "date")
 
+    sold = materialize(product_days(t, last_known), "product-days")
+    costs = t.products.select("product_id", "cogs", "category", "segment")
+    sales = sold.join(costs, "product_id").groupBy("date").agg(
+        exact_sum("revenue").alias("revenue"), exact_sum(F.col("quantity") * F.col("cogs")).alias("cogs"))
+    shipped = sold.groupBy("date").agg(ratio(F.sum("delivery_days"), F.sum("n_shipped")).alias("avg_delivery_days"))
+    stock = t.inventory_of(sold.groupBy(F.last_day("date").alias("snapshot_date"), "product_id").agg(F.sum("quantity").alias("units_sold")))
+
     def cut(df: DataFrame, date: str) -> DataFrame:
         return df.where(F.col(date) <= F.lit(last_known).cast("date")) if last_known else df
 
     frames = [
-        cut(t.sales, "date").withColumn("cogs_ratio", ratio("cogs", "revenue")),
+        sales.withColumn("cogs_ratio", ratio("cogs", "revenue")),
         orders_daily(orders, t.items),
         returns_daily(cut(t.returns, "return_date")),
         reviews_daily(cut(t.reviews, "review_date")),
-        shipment_daily(cut(t.shipments, "ship_date")),
+        shipped,
         traffic_daily(cut(t.web_traffic, "date")),
-        inventory_daily(cut(t.inventory, "snapshot_date"), known),
+        inventory_daily(cut(stock, "snapshot_date"), known),
     ]
     return left_chain(skeleton, frames, "date")
 

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -189,9 +192,9 @@ def predict_trend(df: DataFrame, coefs: DataFrame, keys: list[str], date: str, n
 
 def clip_residuals(df: DataFrame, keys: list[str], resid: str, lower: float = 0.01, upper: float = 0.99, where: Column | None = None) -> DataFrame:
     """Bound a residual by its own quantiles per series (one value per calendar day)."""
-    source = df.where(where) if where is not None else df
-    q = source.groupBy(*keys).agg(F.percentile(resid, F.array(F.lit(lower), F.lit(upper))).alias("_q"))
-    return df.join(q, keys).withColumn(f"{resid}_clipped", clip(resid, F.col("_q")[0], F.col("_q")[1])).drop("_q")
+    source = F.when(where, F.col(resid)) if where is not None else F.col(resid)
+    q = F.percentile(source, F.array(F.lit(lower), F.lit(upper))).over(W.partitionBy(*keys))
+    return df.withColumn("_q", q).withColumn(f"{resid}_clipped", clip(resid, F.col("_q")[0], F.col("_q")[1])).drop("_q")
 
 
 # -- boosted trees ------------------------------------------------------------
@@ -286,27 +289,29 @@ def fit_direct(df: DataFrame, keys: list[str], date: str, target: str, features:
 
 def cross_validate(
     folds: DataFrame, target: str, features: list[str], fit: Callable[..., TreeModel], log: bool,
-    bounds: tuple[float, float] | None = None, weight: str | None = None,
+    bounds: tuple[float, float] | None = None, weight: str | None = None, parallelism: int = 4,
 ) -> DataFrame:
     """Validation predictions of every fold, back on the original scale.
 
-    ``folds`` comes from ``expanding_folds``.  Only the fold numbers reach the
-    driver; each fit and each prediction is a job over the fold's rows.
+    ``folds`` comes from ``expanding_folds`` and should be a written table.  Only
+    the fold numbers reach the driver; each fit is a chain of jobs over the rows
+    of its fold, and ``parallelism`` chains run side by side.
     """
-    source = materialize(folds.where(F.col(target).isNotNull()), "folds")
     y = F.log1p(target) if log else as_col(target)
-    parts = []
-    for fold in sorted(r["fold"] for r in source.select("fold").distinct().collect()):
-        rows = source.where(F.col("fold") == fold).withColumn("_y", y)
+    source = folds.where(F.col(target).isNotNull()).withColumn("_y", y)
+
+    def one(fold: int) -> DataFrame:
+        rows = source.where(F.col("fold") == fold)
         model = fit(rows, features, "_y", is_eval=F.col("role") == "val", weight=weight)
         out = model.predict(rows.where(F.col("role") == "val"), "_p")
         pred = F.expm1("_p") if log else F.col("_p")
         out = out.withColumn("prediction", clip(pred, *bounds) if bounds else pred)
-        parts.append(out.select("fold", F.col(target).alias("actual"), "prediction"))
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+        return out.select("fold", F.col(target).alias("actual"), "prediction")
+
+    numbers = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(one), numbers))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -- from predictions to a submission -----------------------------------------

@@ -14,6 +14,7 @@ from ..operators.order_stats import exact_quantiles
 from ..operators.relational import share_within
 from ..operators.windows import change_from_previous
 from ..sources import Tables
+from ..sources.files import materialize
 from .revenue import base_lines, order_money
 
 # Who answers for a return reason.
@@ -164,7 +165,7 @@ def stockout_lost_revenue(t: Tables, split: int = 4) -> DataFrame:
     """Mean stockout days per month and category, priced at an equal split of daily revenue."""
     inv = t.inventory.groupBy(month_start("snapshot_date").alias("month"), "category").agg(
         F.avg("stockout_days").alias("avg_stockout_days"), F.countDistinct("product_id").alias("n_products"))
-    joined = inv.join(monthly_sales(t.sales), "month", "left")
+    joined = inv.join(monthly_sales(t.revenue_by_day), "month", "left")
     return joined.withColumns({
         "year": F.year("month"), "month_num": F.month("month"),
         "est_lost_revenue": F.col("avg_stockout_days") * (F.col("avg_daily_revenue") / split)})
@@ -225,6 +226,7 @@ def category_medians(products: DataFrame) -> DataFrame:
 
 def quadrants(products: DataFrame) -> DataFrame:
     """High or low margin and return rate against the medians of the category."""
+    products = materialize(products, "product-metrics")
     joined = products.join(category_medians(products), "category")
     high_m, high_r = F.col("margin_rate") >= F.col("margin_median"), F.col("return_rate") >= F.col("return_median")
     return joined.withColumn(

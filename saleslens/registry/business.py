@@ -47,7 +47,7 @@ def _(t):
 
 @query("an_promo_line_share", "SELECT CAST(count(promo_id) AS DOUBLE) / count(*) * 100 AS pct_lines_with_promo FROM items_v")
 def _(t):
-    return t.lines.agg((rate_where(F.col("promo_id").isNotNull()) * 100.0).alias("pct_lines_with_promo"))
+    return t.items.agg((rate_where(F.col("has_promo_id")) * 100.0).alias("pct_lines_with_promo"))
 
 
 @query("an_orders_per_customer_by_age", """
@@ -89,7 +89,7 @@ def _(t):
 WITH y AS (SELECT CAST(year(date) AS INT) AS year, {dsum('revenue')} AS revenue FROM sales_v GROUP BY 1)
 SELECT year, revenue, round((revenue / lag(revenue) OVER (ORDER BY year) - 1) * 100, 6) AS yoy_growth, revenue = (SELECT max(revenue) FROM y) AS is_peak FROM y""")
 def _(t):
-    return M.yearly_revenue(t.sales)
+    return M.yearly_revenue(t.revenue_by_day)
 
 
 @query("an_revenue_concentration", TOP_SQL + f""",
@@ -116,7 +116,7 @@ x AS (SELECT m.year, month, monthly_revenue / mean AS i FROM m JOIN y ON m.year
 @query("an_monthly_index", MONTHLY_SQL + "SELECT year, " + ", ".join(f"max(i) FILTER (WHERE month = {m}) AS m_{m}" for m in range(1, 13)) + """,
  (SELECT round(avg(i), 6) FROM x WHERE month IN (4, 5, 6)) AS peak_avg, (SELECT round(avg(i), 6) FROM x WHERE month IN (1, 2, 11, 12)) AS low_avg FROM x GROUP BY 1""")
 def _(t):
-    return M.monthly_matrix(M.monthly_index(t.sales))
+    return M.monthly_matrix(M.monthly_index(t.stored("revenue_by_day")))
 
 
 @query("an_region_share", f"""
@@ -234,7 +234,7 @@ f AS (SELECT a.series_key, a.date, a.v AS actual, b.v AS forecast FROM s a JOIN
 SELECT series_key, date, round(avg(actual) OVER w, 6) AS actual14_mean, round(avg(forecast) OVER w, 6) AS forecast14_mean FROM f
 WINDOW w AS (PARTITION BY series_key ORDER BY date ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)""")
 def _(t):
-    logs = t.panel.select("series_key", "date", F.log1p("revenue").alias("actual"))
+    logs = t.stored("panel").select("series_key", "date", F.log1p("revenue").alias("actual"))
     past = logs.select("series_key", F.date_add("date", 364).alias("date"), F.col("actual").alias("forecast"))
     both = logs.where(F.col("date") >= F.lit("1999-01-01").cast("date")).join(past, ["series_key", "date"])
     for c in ("actual", "forecast"):

@@ -6,6 +6,7 @@ from ..functions import round6
 from ..plans import campaigns as P
 from ..plans import customers as C
 from ..plans.revenue import live_orders
+from ..sources.files import materialize
 from .base import query
 from .views_sql import dsum
 
@@ -64,13 +65,13 @@ def _(t):
 
 @query("an_campaign_tiered_baseline", TIERED + "SELECT promo_id, method, round(baseline, 6) AS baseline FROM base")
 def _(t):
-    out = P.tiered_baseline(P.live_daily_revenue(t), t.promotions)
+    out = P.tiered_baseline(materialize(P.live_daily_revenue(t), "daily"), t.stored("promotions"))
     return out.select("promo_id", "method", round6("baseline").alias("baseline"))
 
 
 @query("an_campaign_weighted_baseline", WEIGHTED + "SELECT promo_id, method, round(baseline, 6) AS baseline, n_ly, n_near FROM base")
 def _(t):
-    out = P.weighted_baseline(P.daily_profit(t), t.promotions)
+    out = P.weighted_baseline(materialize(P.daily_profit(t), "daily"), t.stored("promotions"))
     return out.select("promo_id", "method", round6("baseline").alias("baseline"), "n_ly", "n_near")
 
 

@@ -42,11 +42,11 @@ fut AS (SELECT series_key, CAST(unnest(generate_series(DATE '2001-01-01', DATE '
 
 
 def level(t):
-    return Fc.level_and_growth(t.panel, KEYS, "date", ["revenue", "cogs"], 1995, 2000)
+    return Fc.level_and_growth(t.stored("panel"), KEYS, "date", ["revenue", "cogs"], 1995, 2000)
 
 
 def profile(t):
-    return Fc.seasonal_profile(t.panel, KEYS, "date", VALUES)
+    return Fc.seasonal_profile(t.stored("panel"), KEYS, "date", VALUES)
 
 
 def naive(t, dates, digits=2):
@@ -54,7 +54,7 @@ def naive(t, dates, digits=2):
 
 
 def future(t):
-    return Fc.horizon(t.panel, KEYS, "date", day("2001-01-01"), day("2002-07-01"))
+    return Fc.horizon(t.stored("panel"), KEYS, "date", day("2001-01-01"), day("2002-07-01"))
 
 
 @query("fc_seasonal_profile", f"WITH {PROFILE_SQL} SELECT series_key, month, day, round(rev_norm, 6) AS rev_norm, round(cogs_norm, 6) AS cogs_norm FROM prof")
@@ -70,7 +70,7 @@ def _(t):
 @query("fc_mape", f"""WITH {PROFILE_SQL}, {LEVEL_SQL}, h AS (SELECT series_key, date, revenue, cogs FROM panel_v WHERE year(date) IN (1999, 2000)), p2 AS ({pred_sql('h')})
 SELECT series_key, round(avg(abs(revenue - revenue_pred) / nullif(revenue, 0)) * 100, 6) AS mape_revenue, round(avg(abs(cogs - cogs_pred) / nullif(cogs, 0)) * 100, 6) AS mape_cogs FROM p2 GROUP BY 1""")
 def _(t):
-    history = t.panel.where(F.year("date").isin(1999, 2000))
+    history = t.stored("panel").where(F.year("date").isin(1999, 2000))
     return naive(t, history, digits=None).groupBy("series_key").agg(
         round6(Fc.mape("revenue", "revenue_pred")).alias("mape_revenue"), round6(Fc.mape("cogs", "cogs_pred")).alias("mape_cogs"))
 
@@ -82,13 +82,13 @@ fo AS (SELECT series_key, date, CAST(f AS INT) AS fold, CASE WHEN i < n - f * 90
 
 @query("fc_expanding_folds", f"WITH {FOLDS_SQL} SELECT * FROM fo WHERE role IS NOT NULL")
 def _(t):
-    return Fc.expanding_folds(t.panel.select("series_key", "date"), KEYS, "date")
+    return Fc.expanding_folds(t.stored("panel").select("series_key", "date"), KEYS, "date")
 
 
 def lagged_folds(t):
     """Validation rows with the value 364 days before, which is always a training day."""
-    past = t.panel.select("series_key", F.date_add("date", 364).alias("date"), F.col("revenue").alias("pred"))
-    folds = Fc.expanding_folds(t.panel.select("series_key", "date", "revenue"), KEYS, "date")
+    past = t.stored("panel").select("series_key", F.date_add("date", 364).alias("date"), F.col("revenue").alias("pred"))
+    folds = Fc.expanding_folds(t.stored("panel").select("series_key", "date", "revenue"), KEYS, "date")
     return folds.where(F.col("role") == "val").join(past, ["series_key", "date"])
 
 
@@ -106,7 +106,7 @@ def _(t):
 r AS (SELECT series_key, date, revenue - revenue_pred AS resid FROM p2), q AS (SELECT series_key, quantile_cont(resid, 0.01) AS lo, quantile_cont(resid, 0.99) AS hi FROM r GROUP BY 1)
 SELECT r.series_key, date, round(resid, 4) AS resid, round(least(greatest(resid, lo), hi), 4) AS resid_clipped FROM r JOIN q ON r.series_key = q.series_key""")
 def _(t):
-    history = t.panel.where(F.col("date") <= day("2000-12-31")).select("series_key", "date", "revenue")
+    history = t.stored("panel").where(F.col("date") <= day("2000-12-31")).select("series_key", "date", "revenue")
     resid = naive(t, history).select("series_key", "date", (F.col("revenue") - F.col("revenue_pred")).alias("resid"))
     return Fc.clip_residuals(resid, KEYS, "resid").withColumns({c: F.round(c, 4) for c in ("resid", "resid_clipped")})
 
@@ -119,7 +119,7 @@ def _(t):
     # Multipliers chosen so that both bounds bite on some rows.
     preds = naive(t, future(t)).select(
         "series_key", "date", F.col("revenue_pred").alias("revenue"), (ratio("cogs_pred", "revenue_pred") * 40).alias("cogs_ratio"))
-    out = Fc.postprocess(preds, Fc.train_stats(t.panel, KEYS).select("series_key", "revenue_p99"), KEYS, cap=1e6, p99_multiplier=0.4)
+    out = Fc.postprocess(preds, Fc.train_stats(t.stored("panel"), KEYS).select("series_key", "revenue_p99"), KEYS, cap=1e6, p99_multiplier=0.4)
     return out.withColumns({"revenue": round6("revenue"), "cogs_ratio": round6("cogs_ratio"), "cogs": F.round("cogs", 4)})
 
 
@@ -129,14 +129,14 @@ TRAIN_END = "2000-12-31"
 
 
 def model_rows(t):
-    wide = Fc.model_table(t.panel, t.promotions, KEYS, "date", day("2001-08-01"))
+    wide = Fc.model_table(t.stored("panel"), t.stored("promotions"), KEYS, "date", day("2001-08-01"))
     return materialize(wide, "model-table")
 
 
 @query("fc_trend_ridge")
 def _(t):
-    coefs = Fc.fit_trend(t.panel.where(F.col("date") <= day(TRAIN_END)), KEYS, "date", "revenue")
-    return Fc.predict_trend(t.panel.select("series_key", "date", "revenue"), coefs, KEYS, "date")
+    coefs = Fc.fit_trend(t.stored("panel").where(F.col("date") <= day(TRAIN_END)), KEYS, "date", "revenue")
+    return Fc.predict_trend(t.stored("panel").select("series_key", "date", "revenue"), coefs, KEYS, "date")
 
 
 @query("fc_residual_gbt")
@@ -170,7 +170,7 @@ def _(t):
 def _(t):
     wide = model_rows(t).where(F.col("revenue").isNotNull())
     features = Fc.residual_features(wide.columns)
-    folds = Fc.expanding_folds(wide.select(*KEYS, "date", "revenue", "cogs_ratio", *features), KEYS, "date")
+    folds = materialize(Fc.expanding_folds(wide.select(*KEYS, "date", "revenue", "cogs_ratio", *features), KEYS, "date"), "folds")
 
     def fit(rows, cols, target, **kw):
         return Fc.fit_trees(rows, cols, target, rounds=4, depth=3, **kw)

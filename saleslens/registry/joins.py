@@ -147,7 +147,7 @@ def _(t):
 @query("join_date_shift_self", """
 SELECT a.series_key, a.date, a.revenue, b.revenue AS revenue_365 FROM panel_v a LEFT JOIN panel_v b ON a.series_key = b.series_key AND a.date = b.date + INTERVAL 365 DAY""")
 def _(t):
-    return J.shifted_value(t.panel.select("series_key", "date", "revenue"), "date", "revenue", 365, "revenue_365", ["series_key"])
+    return J.shifted_value(t.stored("panel").select("series_key", "date", "revenue"), "date", "revenue", 365, "revenue_365", ["series_key"])
 
 
 @query("join_interval_per_key", """

@@ -125,7 +125,7 @@ def _(t):
 SELECT order_date AS date, CASE WHEN order_date <= DATE '1999-12-31' THEN 'train' ELSE 'test' END AS split,
        CASE WHEN order_date <= DATE '1999-12-31' THEN revenue END AS revenue,
        CAST(isodow(order_date) - 1 AS INT) AS day_of_week, CAST(month(order_date) AS INT) AS month,
-       round(sin(2 * pi() * month(order_date) / 12), 6) AS sin_month
+       round(sin(2 * pi() * month(order_date) / 12), 6) + 0.0 AS sin_month
 FROM (SELECT order_date, {dsum('unit_price * quantity')} AS revenue FROM orders_v o JOIN items_v i ON o.order_id = i.order_id GROUP BY 1)""")
 def _(t):
     daily = t.sales.select("date", "revenue", F.lit(1).alias("n_orders"))

@@ -100,7 +100,7 @@ n AS (SELECT a.year, quantile_cont(b.revenue, 0.5) AS m, count(*) AS n FROM y a
 SELECT y.year, y.revenue, round(m, 4) AS neighbor_median, n AS n_neighbors, coalesce(n >= 2 AND m <> 0 AND abs((y.revenue - m) / m) > 0.25, false) AS is_anomalous
 FROM y LEFT JOIN n ON y.year = n.year""")
 def _(t):
-    yearly = t.sales.groupBy(F.year("date").alias("year")).agg(exact_sum("revenue").alias("revenue"))
+    yearly = t.revenue_by_day.groupBy(F.year("date").alias("year")).agg(exact_sum("revenue").alias("revenue"))
     return Wn.neighbor_median(yearly, "year", "revenue").withColumn("neighbor_median", F.round("neighbor_median", 4))
 
 
@@ -109,7 +109,7 @@ WITH m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS month, {dsum('reven
 SELECT month, monthly_revenue / (SELECT {dsum('monthly_revenue')} FROM m) AS share, monthly_revenue / (SELECT {dmean('monthly_revenue')} FROM m) AS revenue_index,
        monthly_revenue / (SELECT max(monthly_revenue) FROM m) AS of_max FROM m""")
 def _(t):
-    monthly = monthly_sales(t.sales)
+    monthly = monthly_sales(t.stored("revenue_by_day"))
     tot = monthly.agg(F.struct(exact_sum("monthly_revenue").alias("s"), F.max("monthly_revenue").alias("m"))).scalar()
     return monthly.withColumn("_t", tot).select(
         "month", ratio("monthly_revenue", "_t.s").alias("share"), "revenue_index", ratio("monthly_revenue", "_t.m").alias("of_max"))
@@ -187,7 +187,7 @@ SELECT j.series_key, j.date, {out} FROM j JOIN m ON j.series_key = m.series_key"
 @query("feat_hist_lag", GRID_SQL + ", j AS (SELECT p.series_key, p.date, " + ", ".join(f"p{n}.lg AS lag_{n}" for n in LAGS) + " FROM p " + " ".join(
     f"LEFT JOIN p p{n} ON p.series_key = p{n}.series_key AND p.date = p{n}.date + INTERVAL {n} DAY" for n in LAGS) + ")" + filled([f"lag_{n}" for n in LAGS]))
 def _(t):
-    grid = X.on_calendar(t.panel.select("series_key", "date", "revenue"), SERIES, "date")
+    grid = X.on_calendar(t.stored("panel").select("series_key", "date", "revenue"), SERIES, "date")
     out = X.history_lags(grid, SERIES, "date", "revenue", LAGS, day("1999-12-31"))
     return X.rounded(out, ["series_key", "date"], [f"lag_{n}" for n in LAGS])
 
@@ -195,7 +195,7 @@ def _(t):
 @query("feat_hist_rolling", GRID_SQL + f""", r AS (SELECT series_key, CAST(date + INTERVAL 365 DAY AS DATE) AS date, {ROLLING_SQL.replace('(v)', '(lg)')} FROM p),
 j AS (SELECT p.series_key, p.date, {", ".join(ROLL_NAMES)} FROM p LEFT JOIN r ON p.series_key = r.series_key AND p.date = r.date)""" + filled(ROLL_NAMES))
 def _(t):
-    grid = X.on_calendar(t.panel.select("series_key", "date", "revenue"), SERIES, "date")
+    grid = X.on_calendar(t.stored("panel").select("series_key", "date", "revenue"), SERIES, "date")
     out = X.history_rolling(grid, SERIES, "date", "revenue", WIDTHS, STATS, 365, day("1999-12-31"))
     return X.rounded(out, ["series_key", "date"], ROLL_NAMES)
 
@@ -245,7 +245,7 @@ def _(t):
     # The fill rate is lowered by a constant so that some months fall under the floor.
     sessions = t.web_traffic.groupBy("date").agg(F.sum("sessions").cast("double").alias("sessions"))
     fill = inventory_snapshots(t.inventory).select(F.col("date").alias("_month"), (F.col("avg_fill_rate") - 0.84).alias("fill_rate"))
-    days = t.sales.select("date").where(F.col("date").between(day("1999-12-01"), day("2000-03-31")))
+    days = t.revenue_by_day.select("date").where(F.col("date").between(day("1999-12-01"), day("2000-03-31")))
     joined = days.join(sessions, "date", "left").withColumn("_month", F.last_day("date")).join(fill, "_month", "left").drop("_month")
     out = X.inventory_stress(joined, "date", "sessions", "fill_rate", day("2000-01-20"))
     return out.withColumns(r6(["inventory_stress_index", "fill_rate"])).select(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, exact_sum, map_values, shift_years
+from .files import materialize
 
 # Labels of the derived columns.
 ORDER_STATUS = {"F": "delivered", "O": "shipped", "P": "cancelled"}
@@ -31,6 +32,17 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._stored: dict[str, DataFrame] = {}
+
+    def stored(self, name: str) -> DataFrame:
+        """A view written once to the shared folder, for jobs that read it several times.
+
+        Meant for aggregates that are much smaller than the facts behind them
+        (daily sales, the panel, the campaign list).
+        """
+        if name not in self._stored:
+            self._stored[name] = materialize(getattr(self, name), name)
+        return self._stored[name]
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -68,8 +80,11 @@ class Tables:
     @property
     def orders_geo(self) -> DataFrame:
         """Orders with the zip of their customer."""
+        return self.with_zip(self.orders)
+
+    def with_zip(self, orders: DataFrame) -> DataFrame:
         zips = self.raw("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("zip"))
-        return self.orders.join(zips, "customer_id", "inner")
+        return orders.join(zips, "customer_id", "inner")
 
     def _item_columns(self) -> list:
         return [
@@ -78,25 +93,25 @@ class Tables:
             F.col("l_quantity").cast("int").alias("quantity"),
             F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
             (F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount"),
+            (F.col("l_discount") >= 0.06).alias("has_promo_id"),
+            ((F.col("l_discount") >= 0.1) & (F.col("l_linenumber") == 7)).alias("has_promo_id_2"),
         ]
 
     @property
     def items(self) -> DataFrame:
-        """Order lines without promotion ids (no join)."""
+        """Order lines with promotion flags but without promotion ids (no join)."""
         return self.raw("lineitem").select(*self._item_columns())
 
     @property
     def lines(self) -> DataFrame:
         """Order lines with promotion ids and the columns of their order."""
-        items = self.raw("lineitem").select(
-            *self._item_columns(), F.col("l_discount"), F.col("l_linenumber"))
         promo = F.concat(
             F.lit("PR-"), F.year("order_date").cast("string"), F.lit("-"), F.quarter("order_date").cast("string"))
         return (
-            items.join(self.orders, "order_id", "inner")
-            .withColumn("promo_id", F.when(F.col("l_discount") >= 0.06, promo))
-            .withColumn("promo_id_2", F.when((F.col("l_discount") >= 0.1) & (F.col("l_linenumber") == 7), F.lit("PR-X")))
-            .drop("l_discount", "l_linenumber")
+            self.items.join(self.orders, "order_id", "inner")
+            .withColumn("promo_id", F.when(F.col("has_promo_id"), promo))
+            .withColumn("promo_id_2", F.when(F.col("has_promo_id_2"), F.lit("PR-X")))
+            .drop("has_promo_id", "has_promo_id_2")
         )
 
     # -- dimensions -------------------------------------------------------
@@ -208,6 +223,16 @@ class Tables:
             )
         )
 
+    @property
+    def revenue_by_day(self) -> DataFrame:
+        """The revenue of ``sales`` without its join to the products.
+
+        Every line has a product (a foreign key that ``dq_fk_integrity`` checks),
+        so jobs that need no cost take this.
+        """
+        return self.lines.groupBy(F.col("order_date").alias("date")).agg(
+            exact_sum(F.col("unit_price") * F.col("quantity")).alias("revenue"))
+
     @property
     def inventory(self) -> DataFrame:
         """Month-end snapshot per product."""
@@ -215,6 +240,10 @@ class Tables:
             self.lines.groupBy(F.last_day("order_date").alias("snapshot_date"), "product_id")
             .agg(F.sum("quantity").alias("units_sold"))
         )
+        return self.inventory_of(sold)
+
+    def inventory_of(self, sold: DataFrame) -> DataFrame:
+        """Snapshot columns for units sold per month end and product."""
         stockout = ((F.col("product_id") + F.month("snapshot_date")) % 10).cast("int")
         return (
             sold.join(self.products.select("product_id", "category", "segment"), "product_id")
