@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampNTZType,
+)
 
-_TYPES = {"DATE": DateType(), "DOUBLE": DoubleType(), "INT": IntegerType(), "BIGINT": LongType(), "STRING": StringType()}
+_TYPES = {
+    "DATE": DateType(), "DOUBLE": DoubleType(), "INT": IntegerType(), "BIGINT": LongType(), "STRING": StringType(),
+    "TIMESTAMP_NTZ": TimestampNTZType(),
+}
 
 
 def _schema(columns: str) -> StructType:
@@ -43,3 +48,22 @@ SCHEMAS: dict[str, StructType] = {
     "payments": _schema("order_id BIGINT, installments INT, payment_value DOUBLE"),
     "forecast": _schema("date DATE, revenue DOUBLE, cogs DOUBLE"),
 }
+
+# The stored star-schema files.  A given schema spares the footer scan that
+# inference runs on every read.
+STORED: dict[str, StructType] = {
+    "region": _schema("r_regionkey INT, r_name STRING"),
+    "nation": _schema("n_nationkey INT, n_name STRING, n_regionkey INT"),
+    "customer": _schema("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"),
+    "part": _schema(
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE"),
+    "orders": _schema(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": _schema(
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"),
+    "events": _schema(
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"),
+}

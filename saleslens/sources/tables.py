@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import MONEY, exact_sum, map_values, shift_years
 from .files import materialize
+from .schemas import STORED
 
 # Labels of the derived columns.
 ORDER_STATUS = {"F": "delivered", "O": "shipped", "P": "cancelled"}
@@ -45,7 +46,7 @@ class Tables:
         return self._stored[name]
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(STORED[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- orders and lines -------------------------------------------------
     def _orders(self, raw: DataFrame) -> DataFrame:
