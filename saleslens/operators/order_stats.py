@@ -42,7 +42,7 @@ def values_at_ranks(
     cuts = counted.groupBy(*group).agg(
         F.array_distinct(F.percentile_approx(seen, probs, F.lit(10 * buckets))).alias("_cuts"))
     tagged = _with_cuts(counted, cuts, keys).withColumn(
-        "_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+        "_b", _bucket_of(F.col(value), F.col("_cuts"), buckets)).drop("_cuts")
     sizes = tagged.groupBy(*group, "_b").agg(F.sum("_m").alias("_size"))
     upto = W.partitionBy(*group).orderBy("_b")
     wanted = (
@@ -67,6 +67,20 @@ def values_at_ranks(
         *keys, "n", "rank", F.col(value).alias("value"), F.col("_m").alias("n_equal"), F.col("_upto").alias("n_upto"))
 
 
+def _bucket_of(value: Column, cuts: Column, buckets: int) -> Column:
+    """Number of ascending cuts below the value, by bisection.
+
+    Plain comparisons stay inside generated code; a lambda over the array would
+    be interpreted once per row and cut.
+    """
+    found = F.lit(0)
+    step = 1 << (buckets - 1).bit_length() - 1
+    while step:
+        found = found + F.when(F.get(cuts, found + (step - 1)) < value, F.lit(step)).otherwise(F.lit(0))
+        step //= 2
+    return found
+
+
 def _with_cuts(counted: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:
     if keys:
         return counted.join(cuts, keys)

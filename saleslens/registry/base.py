@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import prepare
 from ..sources import Tables
 from .views_sql import VIEWS
 
@@ -20,7 +21,7 @@ def query(name: str, sql: str | None = None):
     def add(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: fn(Tables(prepare(spark), folder))
         if sql:
             ORACLES[name] = with_views(sql)
         return fn

@@ -6,7 +6,7 @@ from ..functions import exact_sum, ratio, shift_years
 from ..operators import joins as J
 from ..operators.relational import complete_keys
 from ..plans.customers import first_orders, period_retention, top_customers_lost
-from ..plans.daily import base_table, traffic_daily
+from ..plans.daily import base_table, returns_daily
 from ..plans.features import nearest_major_promo, holiday_calendar
 from ..plans.revenue import order_money
 from .base import query
@@ -108,7 +108,7 @@ def _(t):
 SELECT i.order_id, i.product_id, i.promo_id, coalesce(order_date BETWEEN start_date AND end_date, false) AS is_valid
 FROM items_v i JOIN orders_v o ON i.order_id = o.order_id LEFT JOIN promotions_v p ON i.promo_id = p.promo_id""")
 def _(t):
-    windows = t.promotions.select("promo_id", "start_date", "end_date")
+    windows = t.stored("promotions").select("promo_id", "start_date", "end_date")
     valid = F.col("order_date").between(F.col("start_date"), F.col("end_date"))
     return t.lines.join(windows, "promo_id", "left").select(
         "order_id", "product_id", "promo_id", F.coalesce(valid, F.lit(False)).alias("is_valid"))
@@ -182,11 +182,11 @@ def _(t):
 
 
 @query("join_full_outer_align", """
-SELECT coalesce(a.date, b.date) AS date, n_orders, sessions FROM (SELECT order_date AS date, count(*) AS n_orders FROM orders_v WHERE order_date < DATE '2000-01-20' GROUP BY 1) a
-FULL JOIN (SELECT date, CAST(sum(sessions) AS BIGINT) AS sessions FROM web_traffic_v GROUP BY 1) b ON a.date = b.date""")
+SELECT coalesce(a.date, b.date) AS date, n_orders, n_returns FROM (SELECT order_date AS date, count(*) AS n_orders FROM orders_v GROUP BY 1) a
+FULL JOIN (SELECT return_date AS date, CAST(sum(return_quantity) AS BIGINT) AS n_returns FROM returns_v GROUP BY 1) b ON a.date = b.date""")
 def _(t):
-    a = t.orders_between(last="2000-01-19").groupBy(F.col("order_date").alias("date")).agg(F.count(F.lit(1)).alias("n_orders"))
-    return a.join(traffic_daily(t.web_traffic).select("date", "sessions"), "date", "full")
+    a = t.orders.groupBy(F.col("order_date").alias("date")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return a.join(returns_daily(t.returns).select("date", "n_returns"), "date", "full")
 
 
 @query("join_reindex", """

@@ -235,7 +235,7 @@ def _(t):
 @query("feat_inventory_stress", f"""
 WITH s AS (SELECT date, CAST(sum(sessions) AS DOUBLE) AS sessions FROM web_traffic_v GROUP BY 1),
 f AS (SELECT snapshot_date, {dmean('fill_rate')} - 0.84 AS fill_rate FROM inventory_v GROUP BY 1),
-d AS (SELECT date FROM sales_v WHERE date BETWEEN DATE '1999-12-01' AND DATE '2000-03-31'),
+d AS (SELECT date FROM sales_v),
 j AS (SELECT d.date, sessions, fill_rate, ln(1 + CASE WHEN sessions IS NOT NULL THEN greatest(sessions, 1.0) END) - ln(CASE WHEN fill_rate IS NOT NULL THEN least(greatest(fill_rate, 0.01), 1.0) END) AS x,
       CASE WHEN fill_rate < 0.01 THEN 1 ELSE 0 END AS is_stockout_stress
       FROM d LEFT JOIN s ON d.date = s.date LEFT JOIN f ON last_day(d.date) = f.snapshot_date)
@@ -245,7 +245,7 @@ def _(t):
     # The fill rate is lowered by a constant so that some months fall under the floor.
     sessions = t.web_traffic.groupBy("date").agg(F.sum("sessions").cast("double").alias("sessions"))
     fill = inventory_snapshots(t.inventory).select(F.col("date").alias("_month"), (F.col("avg_fill_rate") - 0.84).alias("fill_rate"))
-    days = t.revenue_by_day.select("date").where(F.col("date").between(day("1999-12-01"), day("2000-03-31")))
+    days = t.revenue_by_day.select("date")
     joined = days.join(sessions, "date", "left").withColumn("_month", F.last_day("date")).join(fill, "_month", "left").drop("_month")
     out = X.inventory_stress(joined, "date", "sessions", "fill_rate", day("2000-01-20"))
     return out.withColumns(r6(["inventory_stress_index", "fill_rate"])).select(

@@ -24,7 +24,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = tempfile.mkdtemp(prefix="saleslens-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    # One folder per application, so that a finished run can be removed as a whole.
+    return f"{base.rstrip('/')}/saleslens-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, exact_sum, map_values, shift_years
+from ..functions import exact_sum, map_values, shift_years
 from .files import materialize
 from .schemas import STORED
 
@@ -269,7 +269,7 @@ class Tables:
             .groupBy("series_key", "date")
             .agg(
                 exact_sum("l_extendedprice").alias("revenue"),
-                F.sum((F.col("l_quantity") * F.col("cogs")).cast(MONEY)).cast("double").alias("cogs"),
+                exact_sum(F.col("l_quantity") * F.col("cogs")).alias("cogs"),
             )
         )
 
