@@ -11,7 +11,7 @@ _UNITS = 10_000
 _LIMB = 1 << 20
 
 __all__ = [
-    "MONEY", "as_col", "exact_sum", "exact_mean", "ratio", "pct", "share_of", "clip",
+    "MONEY", "as_col", "exact_sum", "exact_mean", "ratio", "pct", "clip",
     "flag", "rate_where", "sum_where", "round6", "geometric_growth", "map_values",
 ]
 
@@ -48,9 +48,6 @@ def pct(a: Column | str, b: Column | str) -> Column:
     return ratio(a, b) * F.lit(100.0)
 
 
-def share_of(x: Column | str, total: Column) -> Column:
-    return ratio(x, total)
-
 
 def clip(x: Column | str, lower: float | Column | None = None, upper: float | Column | None = None) -> Column:
     """Bound x, keeping NULL as NULL (``greatest``/``least`` alone skip NULLs)."""

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import as_col, day_range
+from ..functions import day_range
 
 
 def left_chain(skeleton: DataFrame, frames: list[DataFrame], on: str | list[str]) -> DataFrame:
@@ -118,7 +118,3 @@ def range_pairs(
     cut = left.withColumn("_b", F.explode(F.sequence(bucket(F.col(start)), bucket(F.col(end)))))
     tagged = right.withColumn("_b", bucket(F.col(point)))
     return cut.join(tagged, [*keys, "_b"]).where(F.col(point).between(F.col(start), F.col(end))).drop("_b")
-
-
-def as_key(x: Column | str, name: str) -> Column:
-    return as_col(x).alias(name)

@@ -69,9 +69,13 @@ def orders_per_customer_by_age(customers: DataFrame, orders: DataFrame) -> DataF
     ).withColumn("orders_per_customer", ratio("n_orders", "n_customers"))
 
 
-def customer_year_revenue(t: Tables) -> DataFrame:
-    """Revenue per year and customer; NULL for customers whose orders have no lines."""
-    return orders_with_revenue(t).groupBy(F.year("order_date").alias("year"), "customer_id").agg(
+def customer_year_revenue(t: Tables, years: Sequence[int] | None = None) -> DataFrame:
+    """Revenue per year and customer; NULL for customers whose orders have no lines.
+
+    The span of the asked years prunes the order files.
+    """
+    orders = t.orders_between(f"{min(years)}-01-01", f"{max(years)}-12-31") if years else t.orders
+    return orders_with_revenue(t, orders).groupBy(F.year("order_date").alias("year"), "customer_id").agg(
         exact_sum("revenue").alias("revenue"))
 
 
@@ -88,15 +92,15 @@ def revenue_concentration(t: Tables, fraction: float = 0.1) -> DataFrame:
 
 def top_customers_lost(t: Tables, year: int, fraction: float = 0.1) -> DataFrame:
     """Top customers of a year without any order in the next year."""
-    spend = customer_year_revenue(t).withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
-    top = top_fraction(spend.where(F.col("year") == year), ["year"], "revenue", "customer_id", fraction)
+    spend = customer_year_revenue(t, [year]).withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
+    top = top_fraction(spend, ["year"], "revenue", "customer_id", fraction)
     later = t.orders_between(f"{year + 1}-01-01", f"{year + 1}-12-31").select("customer_id")
     return top.join(later, "customer_id", "left_anti").select("customer_id")
 
 
 def top_customer_churn(t: Tables, years: Sequence[int], fraction: float = 0.1) -> DataFrame:
     """Per year: how many of its top customers did not order in the next year."""
-    spend = customer_year_revenue(t).withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
+    spend = customer_year_revenue(t, years).withColumn("revenue", F.coalesce("revenue", F.lit(0.0)))
     top = top_fraction(spend.where(F.col("year").isin(list(years))), ["year"], "revenue", "customer_id", fraction)
     later = t.orders.select((F.year("order_date") - 1).alias("year"), "customer_id").distinct().withColumn("kept", F.lit(1))
     joined = top.join(later, ["year", "customer_id"], "left")

@@ -11,7 +11,7 @@ from .views_sql import dsum
 KEYS = ["series_key"]
 VALUES = {"revenue": "rev_norm", "cogs": "cogs_norm"}
 # Small trees keep the registered jobs short; real runs pass more rounds.
-TREES = {"rounds": 8, "depth": 4}
+TREES = {"rounds": 5, "depth": 3}
 
 
 def norm_sql(v):
@@ -173,7 +173,7 @@ def _(t):
     folds = materialize(Fc.expanding_folds(wide.select(*KEYS, "date", "revenue", "cogs_ratio", *features), KEYS, "date"), "folds")
 
     def fit(rows, cols, target, **kw):
-        return Fc.fit_trees(rows, cols, target, rounds=4, depth=3, **kw)
+        return Fc.fit_trees(rows, cols, target, rounds=3, depth=3, **kw)
 
     parts = []
     for target, log, bounds in (("revenue", True, None), ("cogs_ratio", False, (0.0, 1.0))):
