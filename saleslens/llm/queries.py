@@ -1,13 +1,15 @@
 """The registered queries of this package and the SQL that must give the same rows."""
 
-from . import line_spread, mixing
+from . import line_spread, mixing, url_lm
 
 QUERIES = {
+    "op3_url_filter": url_lm.op3_url_filter,
     "op6_mixing": mixing.op6_mixing,
     "op7_line_spread": line_spread.op7_line_spread,
 }
 
 ORACLES = {
+    "op3_url_filter": url_lm.OP3_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op7_line_spread": line_spread.OP7_SQL,
 }
