@@ -1,8 +1,9 @@
 """The registered queries of this package and the SQL that must give the same rows."""
 
-from . import line_spread, mixing, packing, url_lm
+from . import chat_format, line_spread, mixing, packing, url_lm
 
 QUERIES = {
+    "op1_chat_format": chat_format.op1_chat_format,
     "op10_packing": packing.op10_packing,
     "op3_url_filter": url_lm.op3_url_filter,
     "op6_mixing": mixing.op6_mixing,
