@@ -1,8 +1,9 @@
 """The registered queries of this package and the SQL that must give the same rows."""
 
-from . import chat_format, line_spread, mixing, packing, url_lm
+from . import chat_format, line_spread, mixing, packing, url_lm, warc_bundle
 
 QUERIES = {
+    "op4_warc_bundles": warc_bundle.op4_warc_bundles,
     "op1_chat_format": chat_format.op1_chat_format,
     "op10_packing": packing.op10_packing,
     "op3_url_filter": url_lm.op3_url_filter,
@@ -11,6 +12,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_warc_bundles": warc_bundle.OP4_SQL,
     "op3_url_filter": url_lm.OP3_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op7_line_spread": line_spread.OP7_SQL,
