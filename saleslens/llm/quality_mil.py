@@ -76,12 +76,12 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     byte_at = np.repeat(at, sizes)
     count = np.maximum(1, np.bincount(byte_at, minlength=total))[:, None]
     out[:, :N_CLASS] = np.bincount(byte_at * N_CLASS + kinds, minlength=total * N_CLASS).reshape(total, -1) / count
-    before = kinds[:-1].copy()
-    edge = np.flatnonzero(byte_at[1:] != byte_at[:-1])
-    before[edge] = kinds[1:][edge]  # a passage's first byte has none before it
-    pairs = before * N_CLASS + kinds[1:]
+    before = np.concatenate([kinds[:1], kinds[:-1]])
+    edge = np.flatnonzero(byte_at[1:] != byte_at[:-1]) + 1
+    before[edge] = kinds[edge]  # a passage's first byte has none before it
+    pairs = before * N_CLASS + kinds
     n2 = N_CLASS * N_CLASS
-    out[:, N_CLASS:N_CLASS + n2] = np.bincount(byte_at[1:] * n2 + pairs, minlength=total * n2).reshape(total, -1) / count
+    out[:, N_CLASS:N_CLASS + n2] = np.bincount(byte_at * n2 + pairs, minlength=total * n2).reshape(total, -1) / count
     codes = pc.dictionary_encode(words).indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n_words = np.maximum(1, np.bincount(at, minlength=total))
     same = np.zeros(len(codes), bool)
@@ -90,7 +90,7 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     short = sizes == 1
     for k, values in enumerate((
             np.bincount(at, same, total) / n_words, np.bincount(distinct, minlength=total) / n_words,
-            np.bincount(at, short, total) / n_words, np.bincount(at, sizes, total) / n_words / 10, n_words / PASSAGE_WORDS)):
+            np.bincount(at, short, total) / n_words, np.bincount(at, sizes, total) / n_words / 10, np.bincount(at, minlength=total) / PASSAGE_WORDS)):
         out[:, N_CLASS + n2 + k] = values
     return out, bags
 
