@@ -1,8 +1,9 @@
 """The registered queries of this package and the SQL that must give the same rows."""
 
-from . import chat_format, line_spread, mixing, packing, quality_mil, url_lm, warc_bundle
+from . import chat_format, chosen_path, line_spread, mixing, packing, quality_mil, url_lm, warc_bundle
 
 QUERIES = {
+    "op5_chosen_path": chosen_path.op5_chosen_path,
     "op2_quality": quality_mil.op2_quality,
     "op4_warc_bundles": warc_bundle.op4_warc_bundles,
     "op1_chat_format": chat_format.op1_chat_format,
