@@ -1,8 +1,10 @@
 """The registered queries of this package and the SQL that must give the same rows."""
 
-from . import chat_format, chosen_path, line_spread, mixing, packing, quality_mil, url_lm, warc_bundle
+from . import ball_tree, chat_format, chosen_path, dim_scan, line_spread, mixing, packing, quality_mil, url_lm, warc_bundle
 
 QUERIES = {
+    "op8_dim_scan": dim_scan.op8_dim_scan,
+    "op9_ball_tree": ball_tree.op9_ball_tree,
     "op5_chosen_path": chosen_path.op5_chosen_path,
     "op2_quality": quality_mil.op2_quality,
     "op4_warc_bundles": warc_bundle.op4_warc_bundles,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op9_ball_tree": ball_tree.OP9_SQL,
     "op4_warc_bundles": warc_bundle.OP4_SQL,
     "op3_url_filter": url_lm.OP3_SQL,
     "op6_mixing": mixing.OP6_SQL,
