@@ -63,7 +63,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     place = F.struct("doc_id", "_t", "pos")
     gone = (
         rows.join(bad, ["h", "g"]).where(~place.eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("_id"), "_t").agg(F.collect_list("pos").alias("_gone"))
+        .groupBy(F.col("doc_id").alias("_id"), "_t").agg(F.collect_set("pos").alias("_gone"))
         .select("_id", F.col("_t").alias("_text_hash"), "_gone"))
     joined = docs.join(
         gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_text_hash"]), "left")
