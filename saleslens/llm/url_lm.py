@@ -56,20 +56,20 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return chosen
 
 
-def grams(url: Column):
-    """The symbols after ``://``, and what turns them into numbers of a symbol and the three before it."""
-    tail = F.lower(F.coalesce(F.regexp_extract(url, r"(?s)://(.*)", 1), F.lit("")))
+def with_grams(df: DataFrame) -> DataFrame:
+    """``df`` with ``_grams``: for each character after ``://``, its symbol and the three before it as one number.
+
+    The shifted arrays are made outside the lambda, so the work is linear in the url.
+    """
+    tail = F.lower(F.coalesce(F.regexp_extract("url", r"(?s)://(.*)", 1), F.lit("")))
     # a-z, then { digit, | slash, } dot, ~ dash and DEL for the rest: 31 codes in a row.
     marked = F.translate(tail, "0123456789/.-{|}~", "{" * 10 + "|}~" + "\x7f" * 4)
     marked = F.regexp_replace(marked, r"[^a-z{|}~\x7f]", "\x7f")
     codes = F.transform(F.filter(F.split(marked, ""), lambda c: c != ""), lambda c: F.ascii(c) - 96)
-    return codes, lambda col: F.transform(col, lambda c, i: reduce(
-        lambda a, b: a * SYMBOLS + b, [F.coalesce(F.get(col, i - k), F.lit(0)) for k in range(ORDER, 0, -1)] + [c]))
-
-
-def with_grams(df: DataFrame) -> DataFrame:
-    codes, numbered = grams(F.col("url"))
-    return df.withColumn("_codes", codes).withColumn("_grams", numbered(F.col("_codes"))).drop("_codes")
+    shifted = [F.concat(F.array_repeat(F.lit(0), k), codes).alias(f"c{k}") for k in range(ORDER, -1, -1)]
+    zipped = F.slice(F.arrays_zip(*shifted), 1, F.size(codes))
+    return df.withColumn("_grams", F.transform(
+        zipped, lambda z: reduce(lambda a, k: a * SYMBOLS + z[f"c{k}"], range(ORDER - 1, -1, -1), z[f"c{ORDER}"])))
 
 
 def log_ratio_table(counts: DataFrame) -> DataFrame:
