@@ -12,6 +12,10 @@ end are scored exactly on the original vectors.
 Largest inner product becomes smallest distance by one more dimension that fills
 every vector up to the largest norm.
 
+Cells are probed in rounds of growing size, best first.  The kth score found so
+far goes with the query into the next round: it is the first limit of the tests,
+and no candidate below it leaves a task.
+
 A crowded cell is cut into blocks of about ``UNIT_ROWS`` rows; each is scanned by
 itself and gives at most k rows per query.  Queries are answered as they stream by.
 
@@ -56,15 +60,19 @@ class ScannedList:
         self.r = np.column_stack([self.x, fill]) @ self.turn
         self.scanned = 0  # dimensions looked at, for tests
 
-    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int):
-        """(query row, member row) of the k nearest members of every query."""
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray | None = None):
+        """(query row, member row) of the k nearest members of every query, if they reach its ``floor`` of the inner product."""
         n, d = self.r.shape
         rq = np.column_stack([q, np.zeros(len(q))]) @ self.turn
+        start = np.full(len(q), np.inf)
+        if floor is not None:
+            scale = (q**2).sum(axis=1) + self.largest**2
+            start = scale - 2 * floor + 1e-9 * scale
         kept_d = np.full((len(q), k), np.inf)
         kept_i = np.full((len(q), k), -1)
         for a in range(0, n, CHUNK):
             part = self.r[a:a + CHUNK]
-            limit = kept_d[:, -1]
+            limit = np.minimum(start, kept_d[:, -1])
             steps = [*range(STEP, d, STEP), d]
             first = steps[0]
             sums = np.maximum(0, (rq[:, :first] ** 2).sum(axis=1)[:, None] + (part[:, :first] ** 2).sum(axis=1)
@@ -129,28 +137,28 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = R
 
     probes = probes_for(recall, k, sample, np.searchsorted(cells, nearest(sample, centres)), promise)
 
-    def probe(batches):
+    def probe(batches, since: int, until: int):
         for batch in batches:
             q = rows_of(batch.column(1))
             if not len(q):
                 continue
             order = promise(q)
             # More cells where the usual number holds fewer candidates than are asked for.
-            enough = (np.cumsum(sizes[order], axis=1) < k + 1).sum(axis=1) + 1
+            enough = np.maximum(probes, (np.cumsum(sizes[order], axis=1) < k + 1).sum(axis=1) + 1)
             row, cell, block = [], [], []
             for i, own in enumerate(order):
-                for c in cells[own[:max(probes, int(enough[i]))]].tolist():
+                for c in cells[own[since:min(until, int(enough[i]))]].tolist():
                     row += [i] * blocks[c]
                     cell += [c] * blocks[c]
                     block += range(blocks[c])
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell, pa.int32()), pa.array(block, pa.int32())],
-                names=["vec_id", "v", "cell", "block"])
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell, pa.int32()), pa.array(block, pa.int32()),
+                 batch.column(2).take(take)], names=["vec_id", "v", "cell", "block", "floor"])
 
-    asked = queries.select("vec_id", "v").mapInArrow(probe, f"vec_id bigint, v {kind}, cell int, block int")
-    members = placed.select("vec_id", "v", "cell", block_of(F.col("vec_id"), blocks).alias("block"))
-    rows = members.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)))
+    members = materialize(placed.select(
+        "vec_id", "v", "cell", block_of(F.col("vec_id"), blocks).alias("block"), F.lit(0).alias("kind"), F.lit(None).cast("double").alias("floor")),
+        "lists")
 
     def build(table):
         return ScannedList(table.column("vec_id").to_numpy(), rows_of(table.column("v")), largest)
@@ -159,15 +167,35 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = R
         for i in range(0, table.num_rows, QUERY_CHUNK):
             part = table.slice(i, QUERY_CHUNK)
             ids, q = part.column("vec_id").to_numpy(), rows_of(part.column("v"))
-            row, at = own.search(ids, q, k)
+            row, at = own.search(ids, q, k, part.column("floor").to_numpy())
             score = np.einsum("ij,ij->i", q[row], own.x[at])
             yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(own.ids[at]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
-    parts = max(1, sum(blocks.values()))
-    dealt = rows.repartition(min(parts, MAX_PARTS), "cell", "block").sortWithinPartitions("cell", "block", "kind")
-    return best(dealt.mapInArrow(lambda b: by_unit(b, build, answer), "query_id bigint, vec_id bigint, score double"), k)
-
-
+    parts = min(max(1, sum(blocks.values())), MAX_PARTS)
+    found, since = None, 0
+    while since < len(cells):
+        floors = queries.select("vec_id", "v", F.lit(float("-inf")).alias("floor"))
+        if found is not None:
+            # The kth score of queries that have k candidates already.
+            least = found.where(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("_least"))
+            floors = queries.select("vec_id", "v").join(least, F.col("vec_id") == F.col("_q"), "left").select(
+                "vec_id", "v", F.coalesce("_least", F.lit(float("-inf"))).alias("floor"))
+        until = since + max(1, since * GROWTH)
+        asked = floors.mapInArrow(
+            lambda b, since=since, until=until: probe(b, since, until), f"vec_id bigint, v {kind}, cell int, block int, floor double")
+        rows = members.unionByName(asked.withColumn("kind", F.lit(1)))
+        dealt = rows.repartition(parts, "cell", "block").sortWithinPartitions("cell", "block", "kind")
+        more = dealt.mapInArrow(lambda b: by_unit(b, build, answer), "query_id bigint, vec_id bigint, score double")
+        merged = more if found is None else found.drop("rank").unionByName(more)
+        found = materialize(best(merged, k), "nearest")
+        since = until
+        if since >= probes and (sizes.min() * since > k or since >= len(cells)):
+            break
+    return found
+
+
+#: Each round probes so many times the cells of all rounds before it.
+GROWTH = 3
 #: Tasks of the scan at most; a task scans several units one after the other.
 MAX_PARTS = 20000
 
