@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from saleslens.registry import QUERIES
@@ -29,7 +30,7 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
-           "spark.ui.showConsoleProgress": "false"})
+           "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
     run(spark, "agg_count_by_key", folder)  # start-up cost of the session is not a query's cost

@@ -71,12 +71,16 @@ class TableChecks:
             F.concat(F.lit("not_positive="), n.cast("string"))))
         return self
 
-    def date_range(self, column: str, first: Column, last: Column) -> TableChecks:
-        n = self._agg(F.count_if(~F.col(column).between(first, last)))
+    def date_range(self, column: str, first: Column, last: Column, examples: int = 3) -> TableChecks:
+        outside = ~F.col(column).between(first, last)
+        n = self._agg(F.count_if(outside))
         lo, hi = self._agg(F.min(column)), self._agg(F.max(column))
+        # A set of distinct days, so it stays small.
+        days = self._agg(F.collect_set(F.when(outside, F.col(column))))
+        shown = F.array_join(F.transform(F.slice(F.sort_array(days), 1, examples), lambda d: d.cast("string")), ",")
         self._records.append(_record(
             self.table, column, "date_range", _pass_or(n > 0, "ERROR"), n,
-            F.concat(F.lit("min="), lo.cast("string"), F.lit(" max="), hi.cast("string"))))
+            F.concat(F.lit("min="), lo.cast("string"), F.lit(" max="), hi.cast("string"), F.lit(" examples="), shown)))
         return self
 
     def column_order(self, smaller: str, larger: str) -> TableChecks:

@@ -9,7 +9,7 @@ or number them chunk by chunk.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -79,17 +79,20 @@ def event_rank(df: DataFrame, key: str, date: str, event_id: str, name: str, chu
     """1-based position of each event of a key by (date, id); ids are unique integers.
 
     Rows are numbered inside (key, day, id chunk), which never holds more than
-    ``chunk`` rows, and the running count of the earlier chunks is added.  No
-    task sorts all events of one key.
+    ``chunk`` rows.  Two running counts are added: of the earlier days of the key
+    (at most one row per day) and of the earlier chunks of the day.  So no window
+    holds all events of one key.
     """
     tagged = df.withColumn("_c", F.floor(F.col(event_id) / chunk))
     part = [key, date, "_c"]
-    before = F.sum("_n").over(
-        W.partitionBy(key).orderBy(date, "_c").rowsBetween(W.unboundedPreceding, -1))
-    offsets = (
-        tagged.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*part, F.coalesce(before, F.lit(0)).alias("_before"))
-    )
+
+    def before(keys: list[str], order: str) -> Column:
+        return F.coalesce(F.sum("_n").over(W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    count = F.count(F.lit(1)).alias("_n")
+    chunks = tagged.groupBy(*part).agg(count).select(*part, before([key, date], "_c").alias("_chunks"))
+    days = df.groupBy(key, date).agg(count).select(key, date, before([key], date).alias("_days"))
+    offsets = chunks.join(days, [key, date]).select(*part, (F.col("_days") + F.col("_chunks")).alias("_before"))
     inside = F.row_number().over(W.partitionBy(*part).orderBy(event_id))
     return (
         tagged.withColumn("_in", inside).join(offsets, part)

@@ -8,6 +8,7 @@ of their series so that one model fits them all.
 
 from __future__ import annotations
 
+from calendar import isleap
 import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -25,10 +26,9 @@ from pyspark.sql import functions as F
 
 from ..functions import MONEY, as_col, clip, day_range, exact_sum, geometric_growth, ratio
 from ..operators.joins import left_chain
-from ..operators.relational import columns_by_prefix
 from ..operators.windows import lag_value
 from ..sources.files import materialize
-from .features import column_groups, feature_table
+from .features import feature_table
 
 # -- seasonal forecast --------------------------------------------------------
 
@@ -49,6 +49,7 @@ def seasonal_profile(df: DataFrame, keys: list[str], date: str, values: Mapping[
 
 def level_and_growth(df: DataFrame, keys: list[str], date: str, values: Sequence[str], first_year: int, last_year: int) -> DataFrame:
     """Mean day of the last full year and the geometric yearly growth, per series."""
+    n_days = 366 if isleap(last_year) else 365
     year = F.year(date)
     yearly = df.where(year.between(first_year, last_year)).groupBy(*keys, year.alias("_y")).agg(
         *[exact_sum(v).alias(v) for v in values])
@@ -56,7 +57,7 @@ def level_and_growth(df: DataFrame, keys: list[str], date: str, values: Sequence
         yearly = lag_value(yearly, keys, "_y", v, f"_p_{v}")
     last = F.col("_y") == last_year
     return yearly.groupBy(*keys).agg(
-        *[(F.max(F.when(last, F.col(v))) / 365).alias(f"base_{v}") for v in values],
+        *[(F.max(F.when(last, F.col(v))) / n_days).alias(f"base_{v}") for v in values],
         *[geometric_growth(ratio(v, f"_p_{v}")).alias(f"growth_{v}") for v in values])
 
 
@@ -350,16 +351,10 @@ def model_table(panel: DataFrame, promos: DataFrame, keys: list[str], date: str,
     return wide.withColumn("cogs_ratio", ratio("cogs", "revenue"))
 
 
-def residual_features(columns: Sequence[str]) -> list[str]:
-    groups = ["base_time_features", "fourier_seasonality", "cyclical_features", "vn_holidays", "killer_features"]
-    return columns_by_prefix(columns, groups, column_groups())
-
-
 def submission(
-    wide: DataFrame, keys: list[str], date: str, train_end: Column, cap: float | None = None, p99_multiplier: float = 2.0, **tree_options,
+    wide: DataFrame, keys: list[str], date: str, train_end: Column, features: list[str], cap: float | None = None, p99_multiplier: float = 2.0, **tree_options,
 ) -> DataFrame:
     """Hybrid forecast of revenue and cost ratio for all days after ``train_end``."""
-    features = residual_features(wide.columns)
     train, future = wide.where(F.col(date) <= train_end), wide.where(F.col(date) > train_end)
     revenue = fit_hybrid(train, keys, date, "revenue", features, **tree_options)
     share = fit_hybrid(train, keys, date, "cogs_ratio", features, **tree_options)

@@ -59,6 +59,7 @@ FROM {child} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent})"
 
 FK = " UNION ALL ".join([
     fk_sql("orders->customers", "orders_v", "customer_id", "customers_v", "customer_id"),
+    fk_sql("order_items->orders", "items_v", "order_id", "orders_v", "order_id"),
     fk_sql("order_items->products", "items_v", "product_id", "products_v", "product_id"),
     fk_sql("reviews->order_items", "reviews_v", "order_id", "items_v", "order_id"),
 ])
@@ -67,6 +68,7 @@ FK = " UNION ALL ".join([
 def foreign_keys(t):
     return [
         Q.foreign_key(t.orders, t.customers, "customer_id", "customer_id", "orders->customers"),
+        Q.foreign_key(t.items, t.orders, "order_id", "order_id", "order_items->orders"),
         Q.foreign_key(t.items, t.products, "product_id", "product_id", "order_items->products"),
         Q.foreign_key(t.reviews, t.items, "order_id", "order_id", "reviews->order_items"),
     ]
@@ -84,51 +86,94 @@ POSITIVE = " UNION ALL ".join(
                         "concat('not_positive=', count(*) FILTER (WHERE c_acctbal <= 0))", "ERROR") + " FROM customer"
 
 
+def positives(t):
+    return [
+        Q.TableChecks(t.sales, "sales").positive("revenue").positive("cogs").report(),
+        Q.TableChecks(t.raw("customer"), "customers").positive("c_acctbal").report()]
+
+
 @query("dq_positive", POSITIVE)
 def _(t):
-    return Q.combine([
-        Q.TableChecks(t.sales, "sales").positive("revenue").positive("cogs").report(),
-        Q.TableChecks(t.raw("customer"), "customers").positive("c_acctbal").report()])
+    return Q.combine(positives(t))
+
+
+def date_sql(table, c, view, first, last):
+    bad = f"NOT ({c} BETWEEN DATE '{first}' AND DATE '{last}')"
+    shown = f"list_slice(list_sort(list(DISTINCT {c}) FILTER (WHERE {bad})), 1, 3)"
+    return rec(
+        table, c, "date_range", f"count(*) FILTER (WHERE {bad}) > 0", f"count(*) FILTER (WHERE {bad})",
+        f"concat('min=', min({c}), ' max=', max({c}), ' examples=', array_to_string(list_transform({shown}, lambda d: CAST(d AS VARCHAR)), ','))",
+        "ERROR") + f" FROM {view}"
+
 
+# The second range is narrower than the returns, so that there are examples to show.
+DATES = " UNION ALL ".join([
+    date_sql("orders", "order_date", "orders_v", "1995-01-01", "2001-08-01"),
+    date_sql("returns", "return_date", "returns_v", "1995-01-01", "2001-06-30")])
 
-@query("dq_date_range", " UNION ALL ".join(
-    rec(tb, c, "date_range", f"count(*) FILTER (WHERE NOT ({c} BETWEEN DATE '1995-01-01' AND DATE '2001-08-01')) > 0",
-        f"count(*) FILTER (WHERE NOT ({c} BETWEEN DATE '1995-01-01' AND DATE '2001-08-01'))", f"concat('min=', min({c}), ' max=', max({c}))", "ERROR") + f" FROM {v}"
-    for tb, c, v in (("orders", "order_date", "orders_v"), ("returns", "return_date", "returns_v"))))
+
+def date_ranges(t):
+    return [
+        Q.TableChecks(t.orders, "orders").date_range("order_date", day("1995-01-01"), day("2001-08-01")).report(),
+        Q.TableChecks(t.returns, "returns").date_range("return_date", day("1995-01-01"), day("2001-06-30")).report()]
+
+
+@query("dq_date_range", DATES)
 def _(t):
-    bounds = day("1995-01-01"), day("2001-08-01")
-    return Q.combine([
-        Q.TableChecks(t.orders, "orders").date_range("order_date", *bounds).report(),
-        Q.TableChecks(t.returns, "returns").date_range("return_date", *bounds).report()])
+    return Q.combine(date_ranges(t))
 
 
-@query("dq_column_order", rec(
+ORDER = rec(
     "products", "cogs/price", "cogs_lt_price", "count(*) FILTER (WHERE cogs >= price) > 0", "count(*) FILTER (WHERE cogs >= price)",
-    "concat('violations=', count(*) FILTER (WHERE cogs >= price))", "ERROR") + " FROM products_v")
-def _(t):
+    "concat('violations=', count(*) FILTER (WHERE cogs >= price))", "ERROR") + " FROM products_v"
+
+
+def column_orders(t):
     return Q.TableChecks(t.products, "products").column_order("cogs", "price").report()
 
 
-@query("dq_constant", " UNION ALL ".join(
+@query("dq_column_order", ORDER)
+def _(t):
+    return column_orders(t)
+
+
+CONSTANT = " UNION ALL ".join(
     rec("inventory", c, "constant_check", f"count(*) FILTER (WHERE {c} IS DISTINCT FROM 0) > 0",
         f"CASE WHEN count(*) FILTER (WHERE {c} IS DISTINCT FROM 0) > 0 THEN greatest(count(DISTINCT {c}) - 1, 0) ELSE 0 END",
-        f"concat('values=', count(DISTINCT {c}))") + " FROM inventory_v" for c in ("reorder_flag", "stockout_flag")))
-def _(t):
+        f"concat('values=', count(DISTINCT {c}))") + " FROM inventory_v" for c in ("reorder_flag", "stockout_flag"))
+
+
+def constants(t):
     return Q.TableChecks(t.inventory, "inventory").constant("reorder_flag", 0).constant("stockout_flag", 0).report()
 
 
-@query("dq_high_null", " UNION ALL ".join(
-    rec("order_items", c, "high_null_check", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) < 0.95", "0",
-        f"concat('nulls=', count(*) FILTER (WHERE {c} IS NULL), '/', count(*))") + " FROM items_v" for c in ("promo_id", "promo_id_2")))
+@query("dq_constant", CONSTANT)
 def _(t):
+    return constants(t)
+
+
+HIGH_NULL = " UNION ALL ".join(
+    rec("order_items", c, "high_null_check", f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / count(*) < 0.95", "0",
+        f"concat('nulls=', count(*) FILTER (WHERE {c} IS NULL), '/', count(*))") + " FROM items_v" for c in ("promo_id", "promo_id_2"))
+
+
+def high_nulls(t):
     return Q.TableChecks(t.lines, "order_items").high_null("promo_id").high_null("promo_id_2").report()
 
 
+@query("dq_high_null", HIGH_NULL)
+def _(t):
+    return high_nulls(t)
+
+
+PARTS = " UNION ALL ".join(f"SELECT * FROM ({x})" for x in (ROW_COUNT, NULL_RATE, FK, POSITIVE, DATES, ORDER, CONSTANT, HIGH_NULL))
+
+
 @query("dq_report", f"""
-SELECT status, count(*) AS n_checks, CAST(sum(n_violations) AS BIGINT) AS n_violations FROM (
-SELECT * FROM ({ROW_COUNT}) UNION ALL SELECT * FROM ({NULL_RATE}) UNION ALL SELECT * FROM ({FK})) GROUP BY 1""")
+SELECT status, count(*) AS n_checks, CAST(sum(n_violations) AS BIGINT) AS n_violations FROM ({PARTS}) GROUP BY 1""")
 def _(t):
-    return Q.totals(Q.combine([*row_counts(t), null_rates(t), *foreign_keys(t)]))
+    return Q.totals(Q.combine([
+        *row_counts(t), null_rates(t), *foreign_keys(t), *positives(t), *date_ranges(t), column_orders(t), constants(t), high_nulls(t)]))
 
 
 @query("dq_base_table", """

@@ -71,10 +71,7 @@ def _(t):
     return R.drop_columns(t.customers, ["zip", "age_group", "not_there"])
 
 
-RESIDUAL_PREFIXES = {
-    "base_time_features": ["day_", "week_", "month", "quarter", "is_weekend", "is_month", "is_quarter"],
-    "cyclical_features": ["sin_", "cos_"],
-}
+PREFIXES = {"positions": ["day_", "week_", "month", "quarter"], "flags": ["is_"]}
 
 
 @query("proj_select_by_prefix", """
@@ -87,7 +84,7 @@ SELECT date, CAST(isodow(date) - 1 AS INT) AS day_of_week, CAST(day(date) AS INT
 FROM sales_v""")
 def _(t):
     wide = calendar_features(t.sales, "date")
-    keep = R.columns_by_prefix(wide.columns, ["base_time_features", "not_there"], RESIDUAL_PREFIXES)
+    keep = R.columns_by_prefix(wide.columns, ["positions", "flags", "not_there"], PREFIXES)
     return wide.select("date", *keep)
 
 

@@ -19,18 +19,6 @@ SETTINGS = {
 }
 
 
-ADAPTIVE = [k for k in SETTINGS if k.startswith("spark.sql.adaptive.")]
-
-
-def prepare(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings that the session's own configuration leaves open."""
-    given = spark.sparkContext.getConf()
-    for key in ADAPTIVE:
-        if not given.contains(key):
-            spark.conf.set(key, SETTINGS[key])
-    return spark
-
-
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """Create (or get) a session with the settings above plus ``extra``."""
     builder = SparkSession.builder.appName(app)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -77,7 +78,8 @@ def main():
     from saleslens.session import build_session
 
     folder = f"/root/testdata/{args.sf}"
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     names = [n for n in QUERIES if not args.names or any(n.startswith(a) for a in args.names)]
