@@ -17,6 +17,7 @@ are ignored; very long documents are cut every ``capacity`` ids.
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from array import array
 
@@ -32,7 +33,9 @@ from .common import materialize, read
 CAPACITY, END_ID = 4096, 2
 GROUP_PIECES = 4096
 #: Bytes of text that a task tokenises at once, and words that a worker remembers.
-CHUNK_BYTES, MEMORY_WORDS = 4 << 20, 400_000
+CHUNK_BYTES, MEMORY_WORDS = 2 << 20, 200_000
+#: Words that are encoded at once; the encodings are much larger than their ids.
+ENCODED = 2000
 
 
 class WordTokenizer:
@@ -49,17 +52,19 @@ class WordTokenizer:
 
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
-        parts = [self.known.get(w) for w in words]
+        parts = [self.known.get(w) or self.older.get(w) for w in words]
         missing = [i for i, p in enumerate(parts) if p is None]
-        if missing:
-            encoded = self.encoder.encode_batch_fast([words[i] for i in missing], add_special_tokens=False)
-            for i, e in zip(missing, encoded):
+        for at in range(0, len(missing), ENCODED):
+            some = missing[at:at + ENCODED]
+            for i, e in zip(some, self.encoder.encode_batch_fast([words[i] for i in some], add_special_tokens=False)):
                 parts[i] = array("I", e.ids).tobytes()
-            if len(self.known) + len(missing) > MEMORY_WORDS:
-                self.known = {}
-            self.known.update((words[i], parts[i]) for i in missing[:MEMORY_WORDS])
+        if len(self.known) + len(words) > MEMORY_WORDS:
+            # The words of the last chunks stay; those that nobody asked for since the last turn go.
+            self.older, self.known = self.known, {}
+        self.known.update(zip(words[:MEMORY_WORDS], parts))
         return parts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +112,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id
     """One row per piece: where it starts in its document, its length and the checksum of its ids."""
 
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work; threads would only add memory
         words = WordTokenizer(tokenizer)
         for batch in batches:
             for part in text_chunks(batch, "text"):
