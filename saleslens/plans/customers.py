@@ -112,7 +112,7 @@ def top_customer_churn(t: Tables, years: Sequence[int], fraction: float = 0.1) -
 def yearly_kpis(t: Tables) -> DataFrame:
     """Customers, orders, orders per customer, order value and their yearly changes."""
     per_year = t.orders.groupBy(F.year("order_date").alias("year")).agg(
-        F.countDistinct("customer_id").alias("customers"), F.countDistinct("order_id").alias("orders_cnt"))
+        F.countDistinct("customer_id").alias("customers"), F.count("order_id").alias("orders_cnt"))  # order_id is the key
     revenue = t.revenue_by_day.groupBy(F.year("date").alias("year")).agg(exact_sum("revenue").alias("revenue"))
     out = per_year.join(revenue, "year", "left").withColumns({
         "opc": ratio("orders_cnt", "customers"), "aov": ratio("revenue", "orders_cnt")})
@@ -130,7 +130,7 @@ def region_orders_per_customer(t: Tables, years: Sequence[int]) -> DataFrame:
         t.with_zip(span).withColumn("year", F.year("order_date")).where(F.col("year").isin(list(years)))
         .join(geo, "zip", "left").where(F.col("region").isNotNull())
         .groupBy("year", "region")
-        .agg(F.countDistinct("customer_id").alias("c"), F.countDistinct("order_id").alias("o"))
+        .agg(F.countDistinct("customer_id").alias("c"), F.count("order_id").alias("o"))
         .withColumn("opc", ratio("o", "c"))
     )
     wide = per.groupBy("region").pivot("year", list(years)).agg(F.max("opc"))
@@ -380,7 +380,7 @@ def promo_stats(t: Tables, windows: Sequence[int] = (30, 60, 90), min_orders: in
             exact_sum("discount_amount").alias("discount"),
             exact_sum(F.col("unit_price") * F.col("quantity")).alias("listed")), "promo-orders")
     money = pairs.groupBy("promo_id").agg(exact_sum("discount").alias("discount"), exact_sum("listed").alias("listed"))
-    returned = member_flag(pairs.select("promo_id", "order_id").distinct(), t.returns, "order_id", "is_returned")
+    returned = member_flag(pairs.select("promo_id", "order_id"), t.returns, "order_id", "is_returned")
     per_orders = returned.groupBy("promo_id").agg(
         F.count(F.lit(1)).alias("num_orders"), F.count_if("is_returned").alias("n_returned"))
     buyers = pairs.select("promo_id", "customer_id").distinct().join(promos, "promo_id")

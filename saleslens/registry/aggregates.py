@@ -65,9 +65,11 @@ def _(t):
 SELECT CAST(year(order_date) AS INT) AS year, count(DISTINCT customer_id) AS n_customers, count(DISTINCT o.order_id) AS n_orders, count(DISTINCT product_id) AS n_products
 FROM orders_v o JOIN items_v i ON o.order_id = i.order_id GROUP BY 1""")
 def _(t):
-    return t.lines.groupBy(F.year("order_date").alias("year")).agg(
-        F.countDistinct("customer_id").alias("n_customers"), F.countDistinct("order_id").alias("n_orders"),
-        F.countDistinct("product_id").alias("n_products"))
+    # One distinct count per aggregate: several at once would multiply every line.
+    lines = t.lines.withColumn("year", F.year("order_date"))
+    orders = lines.groupBy("year", "order_id", "customer_id").agg(F.lit(1).alias("one"))
+    return orders.groupBy("year").agg(F.countDistinct("customer_id").alias("n_customers"), F.count("order_id").alias("n_orders")).join(
+        lines.groupBy("year").agg(F.countDistinct("product_id").alias("n_products")), "year")
 
 
 @query("agg_conditional", """

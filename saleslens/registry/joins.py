@@ -168,8 +168,8 @@ def _(t):
 SELECT promo_id, EXISTS (SELECT 1 FROM promotions_v b WHERE NOT (CAST(a.end_date + INTERVAL 20 DAY AS DATE) < b.start_date OR CAST(a.start_date + INTERVAL 35 DAY AS DATE) > b.end_date)) AS is_busy
 FROM promotions_v a""")
 def _(t):
-    moved = t.promotions.select("promo_id", F.date_add("start_date", 35).alias("ws"), F.date_add("end_date", 20).alias("we"))
-    return J.overlap_flag(moved, t.promotions, "promo_id", "ws", "we", "start_date", "end_date", "is_busy").select("promo_id", "is_busy")
+    moved = t.stored("promotions").select("promo_id", F.date_add("start_date", 35).alias("ws"), F.date_add("end_date", 20).alias("we"))
+    return J.overlap_flag(moved, t.stored("promotions"), "promo_id", "ws", "we", "start_date", "end_date", "is_busy").select("promo_id", "is_busy")
 
 
 @query("join_cross", f"""

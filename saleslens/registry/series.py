@@ -218,7 +218,7 @@ SELECT *, n_active_promos * max_discount_pct AS pis_score FROM a""")
 def _(t):
     ends = t.orders.agg(F.min("order_date").alias("lo"), F.date_add(F.max("order_date"), 365).alias("hi"))
     days = ends.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date"))
-    return X.promotion_intensity(days, X.extend_promotions(t.promotions, [1999, 2000]))
+    return X.promotion_intensity(days, X.extend_promotions(t.stored("promotions"), [1999, 2000]))
 
 
 @query("feat_promo_anticipation", """
