@@ -123,3 +123,35 @@ def test_template_order_and_missing_days(spark):
     template = spark.createDataFrame([("s", START), ("s", START + dt.timedelta(days=1))], "k string, date date")
     preds = spark.createDataFrame([("s", START, 1.0)], "k string, date date, revenue double")
     assert [r.revenue for r in Fc.to_template(template, preds, ["k", "date"], ["k", "date"]).collect()] == [1.0, None]
+
+
+def test_bounds_follow_the_data(spark):
+    """A panel a hundred times as large gives forecasts a hundred times as large: no bound is a fixed sum of money."""
+    rows = [("a", float(v), 0.5 + v / 100) for v in (-5, 10, 90, 500)]
+    stats = [("a", 100.0)]
+
+    def bounded(scale):
+        df = spark.createDataFrame([(k, v * scale, r) for k, v, r in rows], "k string, revenue double, cogs_ratio double")
+        p99 = spark.createDataFrame([(k, v * scale) for k, v in stats], "k string, revenue_p99 double")
+        return sorted((r.revenue, r.cogs_ratio) for r in Fc.postprocess(df, p99, ["k"]).collect())
+
+    assert bounded(1.0) == [(0.0, 0.45), (10.0, 0.6), (90.0, 1.0), (200.0, 1.0)]
+    assert [(a * 100, b) for a, b in bounded(1.0)] == bounded(100.0)
+
+
+def test_registered_trees(spark):
+    """A registered model: all rows after the cut, the same in two runs, errors like the seasonal forecast's.
+
+    Orders of the tables fall on random days, so there is little to learn: the trees' error is about a tenth larger.
+    """
+    from saleslens.registry import QUERIES
+
+    folder = "/root/testdata/sf0.01"
+    runs = [{(r.series_key, r.date): (r.revenue, r.prediction) for r in QUERIES["fc_direct_gbt"](spark, folder).collect()} for _ in range(2)]
+    assert runs[0] == runs[1] and len(runs[0]) > 1000
+    seasonal = {(r.series_key, r.date): r.revenue_pred for r in QUERIES["fc_seasonal_naive"](spark, folder).collect()}
+    known = {k: v for k, v in runs[0].items() if v[0] is not None and k in seasonal}
+    assert known and all(p > 0 for _, p in known.values())
+    trees = sum(abs(y - p) for y, p in known.values()) / len(known)
+    naive = sum(abs(y - seasonal[k]) for k, (y, _) in known.items()) / len(known)
+    assert trees < 1.25 * naive, (trees, naive)
