@@ -25,6 +25,7 @@ empty table gives no rows; columns beside doc_id and text are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,9 +39,10 @@ from .quality_mil import text_parts
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5  # shingle length; similarity of 4/5 or more
 WIDTH, BRANCH, RECALL, DEPTH = 128, 1.6, 0.9999, 3
-SMALL, BLOCK, MAX_LEVEL = 64, 256, 8
-#: Shares of equal min-hash values: candidates (4 sigma under 0.8), kin of a pivot, nearly equal to it.
-CANDIDATE, KIN, CORE = 0.65, 0.45, 0.8
+SMALL, BLOCK, MAX_LEVEL = 64, 256, 6
+#: Shares of equal min-hash values: candidates (4 sigma under 0.8), kin of a pivot, nearly equal to it.  What is similar
+#: to a set that is nearly equal to the pivot is at least its kin: distances add up, so 0.7 - 0.2, less 4 sigma.
+CANDIDATE, KIN, CORE = 0.65, 0.3, 0.7
 
 U = np.uint64
 
@@ -240,35 +242,51 @@ def split_large(members: DataFrame) -> DataFrame:
 
 
 def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
-    """Edges between sets that the chosen-path runs hold to be similar."""
+    """(node, comp): groups of sets that the chosen-path runs connect as similar.
+
+    A bucket whose sets the first level has connected already can add nothing; such
+    buckets, the many splits of one large group of near copies, are not split again.
+    """
     rows = materialize(first_paths(classes, runs_for(recall)), "paths")
-    edges = []
+    edges, pool, groups = [], classes.select("cid", "n", "sketch"), None
     for level in range(1, MAX_LEVEL + 1):
-        sizes = materialize(
-            rows.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot")).where("m > 1"), "buckets")
+        buckets = rows.groupBy("path").agg(F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot"))
+        if level > 1:
+            known = rows.join(groups, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "cid"))
+            buckets = known.groupBy("path").agg(
+                F.count(F.lit(1)).alias("m"), F.min("cid").alias("pivot"), (F.min("comp") < F.max("comp")).alias("open")).where("open").drop("open")
+        sizes = materialize(buckets.where("m > 1"), "buckets")
+        met = materialize(rows.join(sizes, "path"), "met")
+        if level == 2:
+            # Only the sets that are left go on.
+            pool = materialize(pool.join(met.select("cid").distinct(), "cid", "left_semi"), "pool")
         small = (
-            rows.join(sizes.where(F.col("m") <= SMALL).select("path"), "path")
-            .groupBy("path").agg(F.sort_array(F.collect_list("cid")).alias("cids"))
+            met.where(F.col("m") <= SMALL).groupBy("path").agg(F.sort_array(F.collect_list("cid")).alias("cids"))
             # Runs often find the same bucket: it is compared once.
             .select("cids").distinct().select(F.xxhash64("cids").alias("bucket"), F.explode("cids").alias("cid")))
-        edges.append(materialize(compare_small(small.join(classes.select("cid", "n", "sketch"), "cid")), "edges"))
-        large = sizes.where(F.col("m") > SMALL)
-        if large.isEmpty():
-            break
-        if level == MAX_LEVEL:
+        found = compare_small(small.join(pool, "cid"))
+        large = met.where(F.col("m") > SMALL)
+        last = large.isEmpty()
+        if not last and level == MAX_LEVEL:
             # Not parted after so many splits: one group each, which is compared exactly.
-            edges.append(materialize(rows.join(large, "path").where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")), "edges"))
+            found, last = found.unionByName(large.where("cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b"))), True
+        elif not last:
+            pivots = sizes.where(F.col("m") > SMALL).select("path", "pivot").join(
+                pool.select(F.col("cid").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+            with_own = large.select("path", "cid").join(pool.select("cid", "sketch"), "cid")
+            split = materialize(split_large(with_own.join(pivots, "path").select("path", "cid", "sketch", "pivot", "pivot_sketch")), "split")
+            found = found.unionByName(split.where("kind = 0").select("a", "b"))
+            rows = split.where("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("cid")).distinct()
+        edges.append(materialize(found.distinct(), "edges"))
+        if level == 1:
+            groups = components(edges[0])
+        if last:
             break
-        pivots = large.join(classes.select(F.col("cid").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-        in_large = rows.join(pivots, "path").join(classes.select("cid", "sketch"), "cid")
-        split = materialize(split_large(in_large.select("path", "cid", "sketch", "pivot", "pivot_sketch")), "split")
-        edges.append(split.where("kind = 0").select("a", "b"))
-        rows = split.where("kind = 1").select(F.col("a").alias("path"), F.col("b").alias("cid")).distinct()
-        rows = materialize(rows, "paths")
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.unionByName(more)
-    return out
+    if len(edges) == 1:
+        return groups
+    # What the first level has found counts as one edge per set.
+    start = groups.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    return components(reduce(DataFrame.unionByName, edges[1:], start))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -278,6 +296,8 @@ def components(edges: DataFrame) -> DataFrame:
     labels, so the rounds grow with the logarithm of the longest path.
     """
     both = edges.where("a <> b")
+    if both.isEmpty():
+        return edges.sparkSession.createDataFrame([], "node bigint, comp bigint")
     both = materialize(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both-ways")
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
     while True:
@@ -381,7 +401,7 @@ def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         all_docs.where("n > 0").groupBy("cid", "n").agg(
             F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "sketch")).alias("s"))
         .select("cid", "n", "docs", F.col("s.doc_id").alias("rep"), F.col("s.sketch").alias("sketch")), "classes")
-    groups = components(candidates(classes, recall))
+    groups = candidates(classes, recall)
     members = classes.join(groups, F.col("cid") == F.col("node")).select("cid", "rep", "comp", "docs")
     sets = materialize(full_sets(docs, materialize(members, "members")), "sets")
     found = materialize(exact_links(sets), "links")
