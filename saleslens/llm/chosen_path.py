@@ -19,7 +19,9 @@ g**2 / 2 pairs, spread over (g / BLOCK)**2 / 2 tasks.
 Defined results: words are lower-cased runs between white space; a text of 1 to 4
 words is one shingle; NULL and wordless texts have no shingles, link to nothing
 and are classes of their own; rows that repeat a document are counted each; an
-empty table gives no rows; columns beside doc_id and text are ignored.
+empty table gives no rows; columns beside doc_id and text are ignored.  A NULL
+doc_id is a document like others: it links and is counted, but it names a class or
+an equal set only where none of its documents has an id, and that name is NULL.
 """
 
 from __future__ import annotations
@@ -110,22 +112,24 @@ def set_id(own: np.ndarray) -> int:
 
 
 def embedded(docs: DataFrame) -> DataFrame:
-    """(doc_id, cid, n, sketch): the set of each document by its 64-bit id, its size and min-hash values."""
+    """(_row, doc_id, cid, n, sketch): the set of each document by its 64-bit id, its size and min-hash values."""
 
     def run(batches):
         for batch in batches:
             at = 0
-            for part in text_parts(batch.column(1)):
+            for part in text_parts(batch.column(2)):
                 sets = shingle_sets(part)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(sets)).cast(pa.int64()),
+                    batch.column(0).slice(at, len(sets)),
+                    batch.column(1).slice(at, len(sets)).cast(pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "cid", "n", "sketch"])
+                    names=["_row", "doc_id", "cid", "n", "sketch"])
                 at += len(sets)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, cid bigint, n int, sketch binary")
+    row = docs.schema["_row"].dataType.simpleString()
+    return docs.select("_row", "doc_id", "text").mapInArrow(run, f"_row {row}, doc_id bigint, cid bigint, n int, sketch binary")
 
 
 def survival(depth: int = DEPTH) -> float:
@@ -367,7 +371,7 @@ def shared(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(cid, comp, docs, tokens) of sets (cid, rep, comp, docs), read again from the text of one document each."""
+    """(cid, comp, docs, tokens) of sets (cid, row, comp, docs), read again from the text of one row each."""
 
     def run(batches):
         for batch in batches:
@@ -376,16 +380,17 @@ def full_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
                 sets = shingle_sets(part)
                 own = batch.slice(at, len(sets))
                 at += len(sets)
-                # A repeated doc_id may stand for another text.
-                right = pa.array([len(s) > 0 and set_id(s) == c for s, c in zip(sets, own.column("cid").to_pylist())], pa.bool_())
-                tokens = pa.array([s.tobytes() for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(c).filter(right) for c in ("cid", "comp", "docs")] + [tokens.filter(right)],
+                    [own.column(c) for c in ("cid", "comp", "docs")] + [pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["cid", "comp", "docs", "tokens"])
 
-    rows = docs.select("doc_id", "text").join(members, F.col("doc_id") == F.col("rep")).select("text", "cid", "comp", "docs")
-    found = rows.mapInArrow(run, "cid bigint, comp bigint, docs bigint, tokens binary")
-    return found.groupBy("cid").agg(*[F.first(c).alias(c) for c in ("comp", "docs", "tokens")])
+    rows = docs.select("_row", "text").join(members, F.col("_row") == F.col("row")).select("text", "cid", "comp", "docs")
+    return rows.mapInArrow(run, "cid bigint, comp bigint, docs bigint, tokens binary")
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """``docs``, written, with ``_row``: a key of each row that is the same whenever the table is read."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -396,13 +401,20 @@ def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     sets included), ``text_links`` the number of similar different sets and
     ``text_class`` the smallest doc_id of an equal set.
     """
+    return row_classes(with_row(docs.select("doc_id", "text")), recall).drop("_row")
+
+
+def row_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
+    """``jaccard_classes`` with the ``_row`` of each document, from documents that have one."""
     all_docs = materialize(embedded(docs), "embedded")
     classes = materialize(
         all_docs.where("n > 0").groupBy("cid", "n").agg(
-            F.count(F.lit(1)).alias("docs"), F.min(F.struct("doc_id", "sketch")).alias("s"))
-        .select("cid", "n", "docs", F.col("s.doc_id").alias("rep"), F.col("s.sketch").alias("sketch")), "classes")
+            F.count(F.lit(1)).alias("docs"),
+            # NULL sorts first in a struct; an id goes before none.
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row", "sketch")).alias("s"))
+        .select("cid", "n", "docs", F.col("s.doc_id").alias("rep"), F.col("s._row").alias("row"), F.col("s.sketch").alias("sketch")), "classes")
     groups = candidates(classes, recall)
-    members = classes.join(groups, F.col("cid") == F.col("node")).select("cid", "rep", "comp", "docs")
+    members = classes.join(groups, F.col("cid") == F.col("node")).select("cid", "row", "comp", "docs")
     sets = materialize(full_sets(docs, materialize(members, "members")), "sets")
     found = materialize(exact_links(sets), "links")
     final = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
@@ -414,13 +426,15 @@ def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     info = known.join(first, "comp").select(
         F.col("cid").alias("_c"), "class_id", F.col("rep").alias("text_class"),
         (F.coalesce("more", F.lit(0)) + F.col("docs") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("text_links"))
-    return all_docs.select("doc_id", "cid").join(info, F.col("cid") == F.col("_c"), "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    return all_docs.select("_row", "doc_id", "cid").join(info, F.col("cid") == F.col("_c"), "left").select(
+        "_row", "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
         F.coalesce("text_links", F.lit(0)).alias("text_links"), F.coalesce("text_class", "doc_id").alias("text_class"))
 
 
 def op5_chosen_path(spark, sf_dir: str) -> DataFrame:
-    return jaccard_classes(read(spark, sf_dir, "documents"))
+    # The place of a row in its file is a key that needs no copy of the table.
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return row_classes(read(spark, sf_dir, "documents").select("doc_id", "text", place.alias("_row"))).drop("_row")
 
 
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

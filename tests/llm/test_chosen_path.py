@@ -89,6 +89,21 @@ def test_blocks_of_a_large_group(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def test_null_ids_within_groups(spark):
+    """A NULL id changes nothing but the names: one among exact copies, alone among near ones, and a group without ids."""
+    rng = random.Random(8)
+    one, two, three = near_copies(rng, 6), near_copies(rng, 4), near_copies(rng, 3)
+    texts = one + [one[0]] * 5 + two + three + [three[0]]
+    rows = list(enumerate(texts))
+    nameless = {7, 11, *range(15, 19)}  # a copy of one[0]; two[0], whose text no other row needs to have; all of three
+    want = brute(rows)
+    assert {c for d, c, *_ in want} == {0, 11, 15} and all(n for _, _, n, *_ in want)
+    smallest = {11: min(d for d, c, *_ in want if c == 11 and d not in nameless), 15: None}
+    docs = spark.createDataFrame([(None if d in nameless else d, t) for d, t in rows], "doc_id long, text string")
+    got = Counter(tuple(r)[:4] for r in cp.jaccard_classes(docs).collect())
+    assert got == Counter((None if d in nameless else d, smallest.get(c, c), n, m) for d, c, n, m, _ in want)
+
+
 def test_empty_table(spark):
     assert found(spark, [(1, "a")])[:0] == found(spark, [(1, "a")])[1:]
     assert cp.jaccard_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
