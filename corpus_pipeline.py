@@ -7,8 +7,8 @@ docs.  All but the last return the columns of documents.
 * ``quality``: documents that the classifier rejects go.
 * ``line_dedup``: cross-site boilerplate lines go but for their first place, and so
   do documents of which nothing is left.
-* ``near_duplicates``: the document with the smallest id stays of each class of
-  documents that links of similarity 0.8 or more connect.
+* ``near_duplicates``: one row, of those with the smallest id, stays of each class
+  of documents that links of similarity 0.8 or more connect.
 * ``mixing``: documents as often as the mix of the sources takes them (0 to 2 times).
 * ``packing``: one row per piece of a document, with its sequence and offset.
 

@@ -401,11 +401,15 @@ def jaccard_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     sets included), ``text_links`` the number of similar different sets and
     ``text_class`` the smallest doc_id of an equal set.
     """
-    return row_classes(with_row(docs.select("doc_id", "text")), recall).drop("_row")
+    return row_classes(with_row(docs.select("doc_id", "text")), recall).drop("_row", "_kept")
 
 
 def row_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """``jaccard_classes`` with the ``_row`` of each document, from documents that have one."""
+    """``jaccard_classes`` of documents that have a ``_row``, with that and ``_kept``.
+
+    ``_kept`` is the row that stands for the class: the smallest with the smallest
+    id.  A row without shingles stands for itself.
+    """
     all_docs = materialize(embedded(docs), "embedded")
     classes = materialize(
         all_docs.where("n > 0").groupBy("cid", "n").agg(
@@ -419,25 +423,27 @@ def row_classes(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     found = materialize(exact_links(sets), "links")
     final = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     links = found.groupBy(F.col("cid").alias("_l")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("more"))
-    known = classes.select("cid", "rep", "docs").join(final.withColumnRenamed("node", "_n"), F.col("cid") == F.col("_n"), "left").join(
+    known = classes.select("cid", "rep", "row", "docs").join(final.withColumnRenamed("node", "_n"), F.col("cid") == F.col("_n"), "left").join(
         links, F.col("cid") == F.col("_l"), "left").withColumn("comp", F.coalesce("comp", "cid"))
-    known = materialize(known.select("cid", "rep", "docs", "comp", "texts", "more"), "known")
-    first = known.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    info = known.join(first, "comp").select(
-        F.col("cid").alias("_c"), "class_id", F.col("rep").alias("text_class"),
+    known = materialize(known.select("cid", "rep", "row", "docs", "comp", "texts", "more"), "known")
+    first = known.groupBy("comp").agg(F.min(F.struct(F.col("rep").isNull().alias("no_id"), "rep", "row")).alias("f"))
+    info = known.join(first.select("comp", F.col("f.rep").alias("class_id"), F.col("f.row").alias("kept")), "comp").select(
+        F.col("cid").alias("_c"), "class_id", "kept", F.col("rep").alias("text_class"),
         (F.coalesce("more", F.lit(0)) + F.col("docs") - 1).alias("n_links"), F.coalesce("texts", F.lit(0)).alias("text_links"))
     return all_docs.select("_row", "doc_id", "cid").join(info, F.col("cid") == F.col("_c"), "left").select(
         "_row", "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("text_links", F.lit(0)).alias("text_links"), F.coalesce("text_class", "doc_id").alias("text_class"))
+        F.coalesce("text_links", F.lit(0)).alias("text_links"), F.coalesce("text_class", "doc_id").alias("text_class"),
+        F.coalesce("kept", "_row").alias("_kept"))
 
 
 def op5_chosen_path(spark, sf_dir: str) -> DataFrame:
     # The place of a row in its file is a key that needs no copy of the table.
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
-    return row_classes(read(spark, sf_dir, "documents").select("doc_id", "text", place.alias("_row"))).drop("_row")
+    return row_classes(read(spark, sf_dir, "documents").select("doc_id", "text", place.alias("_row"))).drop("_row", "_kept")
 
 
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; rows that repeat that id are that document and stay."""
-    drop = jaccard_classes(docs).where("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each class, of those with the smallest id; rows without shingles stay."""
+    docs = with_row(docs)
+    drop = row_classes(docs).where("_row <> _kept").select(F.col("_row").alias("_gone"))
+    return docs.join(drop, F.col("_row") == F.col("_gone"), "left_anti").drop("_row")

@@ -86,3 +86,15 @@ def test_odd_documents_pass_through(spark):
         for own in (docs, docs.limit(0)):
             out = stage(spark, own, FOLDER)
             assert (out.columns == docs.columns or name == "packing") and out.count() >= 0
+
+
+def test_near_duplicates_go_by_row(spark):
+    """Of a class one row stays, whatever ids repeat or lack; what is similar to nothing stays though its id repeats."""
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    near = text["a"] + " more"
+    rows = [(1, text["a"]), (5, near), (5, text["b"]), (5, text["c"])]  # b and c are clean, 5 belongs to the class of 1
+    rows += [(7, text["d"])] * 4 + [(None, text["e"]), (9, text["e"]), (8, text["e"])] + [(None, text["f"])] * 2 + [(3, ""), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    after = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, FOLDER)
+    want = [(1, text["a"]), (5, text["b"]), (5, text["c"]), (7, text["d"]), (8, text["e"]), (None, text["f"]), (3, ""), (3, ""), (None, None)]
+    assert after.columns == COLUMNS and Counter((r.doc_id, r.text) for r in after.collect()) == Counter(want)
