@@ -141,7 +141,8 @@ def survival(depth: int = DEPTH) -> float:
 
 
 def runs_for(recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival()))
+    """Runs after which a pair of the wanted similarity is found with that chance, in buckets of any depth."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - survival(MAX_LEVEL)))
 
 
 def chosen(paths: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -126,3 +126,8 @@ def test_helpers():
     b = np.concatenate([a[:800], rng.integers(0, 2**63, 100).astype(np.uint64)])
     assert abs((cp.sketch(a) == cp.sketch(b)).mean() - 0.8) < 0.15
     assert 1 - (1 - cp.survival()) ** cp.runs_for(0.9999) >= 0.9999
+
+
+def test_recall_holds_at_every_depth():
+    for depth in range(1, cp.MAX_LEVEL + 1):
+        assert 1 - (1 - cp.survival(depth)) ** cp.runs_for(cp.RECALL) >= cp.RECALL
