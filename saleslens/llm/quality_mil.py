@@ -6,9 +6,8 @@ length of words) by a learned layer; gated attention weights, learned from the
 labels of documents alone, add the encodings up, and a logistic unit scores the sum.
 
 The model is fitted on at most ``SAMPLE_DOCS`` labelled documents (the smallest
-hashes of their ids), ``SAMPLE_PASSAGES`` evenly spaced passages of each: that
-bound is a parameter and does not grow with the input.  Scoring reads whole texts,
-all passages, in one pass without a shuffle; the model is a few kilobytes.
+hashes of their ids), with all passages of each: that bound is a parameter and
+does not grow with the input.  Scoring reads whole texts, all passages, in one pass without a shuffle; the model is a few kilobytes.
 
 Defined results: NULL and empty texts are a bag of one empty passage; documents
 without a label are only scored; labels that are NULL are not used; repeated
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import hash_key, read
 
 PASSAGE_WORDS = 64
-SAMPLE_DOCS, SAMPLE_PASSAGES, SEED = 4096, 32, 5
+SAMPLE_DOCS, SEED = 4096, 5
 HIDDEN, GATE, EPOCHS, BATCH, RATE = 32, 16, 14, 128, 0.01
 THRESHOLD = 0.7
 CHUNK_BYTES = 4 << 20
@@ -182,10 +181,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DO
             for part in text_parts(batch.column(0)):
                 features, bags = passages(part)
                 ends = np.cumsum(bags)
-                rows = []
-                for i, (n, end) in enumerate(zip(bags.tolist(), ends.tolist())):
-                    pick = np.unique(np.linspace(end - n, end - 1, min(n, SAMPLE_PASSAGES)).astype(int))
-                    rows.append((batch.column(1)[at + i].as_py(), len(pick), features[pick].tobytes()))
+                rows = [
+                    (batch.column(1)[at + i].as_py(), n, features[end - n:end].tobytes())
+                    for i, (n, end) in enumerate(zip(bags.tolist(), ends.tolist()))]
                 at += len(bags)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], names=["quality", "n", "x"])

@@ -63,3 +63,21 @@ def test_odd_tables(spark):
     kept = docs.select(qm.scorer(qm.fit_quality(docs, both))("text").alias("s")).collect()
     assert len(kept) == 5 and all(0 <= r.s <= 1 for r in kept)
     assert docs.limit(0).select(qm.scorer(qm.Model())("text").alias("s")).count() == 0
+
+
+def test_fit_sees_all_passages(spark, monkeypatch):
+    texts = {i: " ".join(f"w{i}x{j}" for j in range(64 * (1 + 11 * i))) for i in range(9)}  # 1 to 89 passages
+    seen = {}
+
+    def fit(self, features, bags, labels):
+        seen.update(features=features, bags=bags)
+        return self
+
+    monkeypatch.setattr(qm.Model, "fit", fit)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    taught = [r.doc_id for r in labels.where(~qm.held_out(labels.doc_id)).collect()]
+    qm.fit_quality(docs, labels)
+    want = qm.passages(pa.array([texts[i] for i in taught]))
+    assert want[1].max() > 32 and sorted(seen["bags"]) == sorted(want[1])
+    assert sorted(map(bytes, seen["features"])) == sorted(map(bytes, want[0]))
