@@ -1,24 +1,20 @@
 """Forecasts for many daily series at once.
 
 The seasonal forecast, the folds, the metrics and the trend fit are relational:
-one job serves all series (and all folds).  Boosted trees come from Spark ML
-and learn one shared model over the whole panel; targets are scaled by the level
-of their series so that one model fits them all.
+one job serves all series (and all folds).  Boosted trees (``boosting``) learn one
+shared model over the whole panel; targets are scaled by the level of their series
+so that one model fits them all.
 """
 
 from __future__ import annotations
 
 from calendar import isleap
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.util import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -28,6 +24,7 @@ from ..functions import MONEY, as_col, clip, day_range, exact_sum, geometric_gro
 from ..operators.joins import left_chain
 from ..operators.windows import lag_value
 from ..sources.files import materialize
+from .boosting import TreeModel, fit_trees
 from .features import feature_table
 
 # -- seasonal forecast --------------------------------------------------------
@@ -92,27 +89,35 @@ def mape(actual: str, pred: str) -> Column:
     return F.avg(ratio(F.abs(F.col(actual) - F.col(pred)), actual)) * 100
 
 
+def _numbered_days(days: DataFrame, keys: list[str], date: str) -> DataFrame:
+    """Distinct days with their place in the series (``_i``, from 0) and the days of the series (``_total``)."""
+    by_key = W.partitionBy(*keys)
+    return days.withColumns({
+        "_i": F.row_number().over(by_key.orderBy(date)) - 1, "_total": F.count(F.lit(1)).over(by_key)})
+
+
 def expanding_folds(
     df: DataFrame, keys: list[str], date: str, n_splits: int = 5, val_days: int = 90, min_train_days: int = 365, gap_days: int = 0,
+    holdout_days: int | None = None,
 ) -> DataFrame:
     """Rows tagged with (fold, role) of backward expanding windows.
 
     Fold 1 validates on the newest ``val_days`` distinct days, fold 2 on the
     ones before, and each trains on everything earlier.  Folds with a shorter
-    training part are left out.
+    training part are left out.  With ``holdout_days``, ``held`` marks the newest
+    days of each training part.
     """
     days = df.select(*keys, date).distinct()
-    by_key = W.partitionBy(*keys)
-    ranked = days.withColumns({
-        "_i": F.row_number().over(by_key.orderBy(date)) - 1, "_total": F.count(F.lit(1)).over(by_key)})
+    ranked = _numbered_days(days, keys, date)
     fold = F.explode(F.array(*[F.lit(f) for f in range(1, n_splits + 1)]))
     val_start = F.col("_total") - F.col("fold") * val_days
     train_end = val_start - gap_days
     role = F.when(F.col("_i") < train_end, "train").when(
         (F.col("_i") >= val_start) & (F.col("_i") < val_start + val_days), "val")
+    held = [] if holdout_days is None else [((F.col("_i") < train_end) & (F.col("_i") >= train_end - holdout_days)).alias("held")]
     tagged = (
         ranked.withColumn("fold", fold).where(train_end >= min_train_days)
-        .withColumn("role", role).where(F.col("role").isNotNull()).select(*keys, date, "fold", "role")
+        .withColumn("role", role).where(F.col("role").isNotNull()).select(*keys, date, "fold", "role", *held)
     )
     return df.join(tagged, [*keys, date])
 
@@ -136,51 +141,98 @@ def metric_summary(df: DataFrame, by: list[str]) -> DataFrame:
 # -- trend: ridge on day index, its square and two yearly waves ---------------
 
 TREND_TERMS = ["t", "t2", "s1", "c1", "s2", "c2"]
+YEAR = 365
+#: The day index enters in years, so that the system is well conditioned; its penalty is for the term in days.
+TERM_UNITS = {"t": YEAR, "t2": YEAR**2, "s1": 1, "c1": 1, "s2": 1, "c2": 1}
 
 
 def _trend_terms(index: Column) -> dict[str, Column]:
-    t = index.cast("double")
-    wave = F.lit(2 * math.pi / 365) * t
+    t = index.cast("double") / YEAR
+    wave = F.lit(2 * math.pi) * t
     return {"t": t, "t2": t * t, "s1": F.sin(wave), "c1": F.cos(wave), "s2": F.sin(2 * wave), "c2": F.cos(2 * wave)}
 
 
-def _ridge_solver(alpha: float):
-    k = len(TREND_TERMS)
-    upper = np.triu_indices(k)
+def _moments(target: str) -> dict[str, Column]:
+    """Sums that are enough for the fit; sums of parts add up to the sums of the whole."""
+    y = F.col(target).cast("double")
+    sums = {"m_n": F.lit(1.0), "m_y": y}
+    for i, a in enumerate(TREND_TERMS):
+        sums |= {f"m_{a}": F.col(a), f"m_{a}_y": F.col(a) * y} | {f"m_{a}_{b}": F.col(a) * F.col(b) for b in TREND_TERMS[i:]}
+    return {name: F.sum(v) for name, v in sums.items()}
+
 
-    @F.pandas_udf("array<double>")
-    def solve(moments: pd.Series) -> pd.Series:
-        def one(m):
-            m = np.asarray(m, dtype=float)
-            n, mean_y, mean_x = m[0], m[1], m[2:2 + k]
-            xx = np.zeros((k, k))
-            xx[upper] = m[2 + k:2 + k + len(upper[0])]
-            xx = xx + xx.T - np.diag(np.diag(xx))
-            xy = m[2 + k + len(upper[0]):]
-            coef = np.linalg.solve(n * xx + alpha * np.eye(k), n * xy)
-            return [float(mean_y - mean_x @ coef), *map(float, coef)]
+def trend_moments(df: DataFrame, by: list[str], date: str, target: str) -> DataFrame:
+    """The moments of known targets per group; rows carry the ``first_date`` of their series."""
+    rows = df.where(F.col(target).isNotNull()).withColumns(_trend_terms(F.datediff(date, "first_date")))
+    return rows.groupBy(*by, "first_date").agg(*[v.alias(n) for n, v in _moments(target).items()])
 
-        return moments.map(one)
 
-    return solve
+def ridge_steps(alpha: float) -> list[dict[str, str]]:
+    """Column expressions, step by step, from moments to coefficients: an unrolled Cholesky solution.
+
+    ``l_i_j`` is the factor of the centred system, ``z_i`` the forward and ``b_i``
+    the back substitution, ``b_0`` the intercept, which is not penalised.
+    """
+    terms, k = TREND_TERMS, len(TREND_TERMS)
+
+    def minus(pairs):
+        return "".join(f" - {a} * {b}" for a, b in pairs)
+
+    steps = []
+    for j, a in enumerate(terms):
+        penalty = f"{alpha / TERM_UNITS[a] ** 2:e}"
+        pivot = f"m_{a}_{a} - m_{a} * m_{a} / m_n + {penalty}" + minus((f"l_{j}_{q}", f"l_{j}_{q}") for q in range(j))
+        # A pivot is at least its penalty; rounding may not make it less.
+        steps.append({f"l_{j}_{j}": f"sqrt(greatest({pivot}, {penalty}))"})
+        steps.append({
+            f"l_{i}_{j}": f"(m_{a}_{b} - m_{a} * m_{b} / m_n" + minus((f"l_{i}_{q}", f"l_{j}_{q}") for q in range(j)) + f") / l_{j}_{j}"
+            for i, b in list(enumerate(terms))[j + 1:]})
+    for i, a in enumerate(terms):
+        steps.append({f"z_{i}": f"(m_{a}_y - m_{a} * m_y / m_n" + minus((f"l_{i}_{q}", f"z_{q}") for q in range(i)) + f") / l_{i}_{i}"})
+    for i in reversed(range(k)):
+        steps.append({f"b_{i + 1}": f"(z_{i}" + minus((f"l_{q}_{i}", f"b_{q + 1}") for q in range(i + 1, k)) + f") / l_{i}_{i}"})
+    steps.append({"b_0": "m_y / m_n" + minus((f"b_{i + 1}", f"m_{a} / m_n") for i, a in enumerate(terms))})
+    return [s for s in steps if s]
+
+
+def solve_trend(moments: DataFrame, keys: list[str], alpha: float = 1.0) -> DataFrame:
+    """(keys, first_date, coef, level): intercept and coefficients per key, and the size of its mean target."""
+    out = moments
+    for step in ridge_steps(alpha):
+        out = out.withColumns({name: F.expr(e) for name, e in step.items()})
+    coef = F.array(*[F.col(f"b_{i}") for i in range(len(TREND_TERMS) + 1)])
+    return out.select(*keys, "first_date", coef.alias("coef"), F.abs(F.col("m_y") / F.col("m_n")).alias("level"))
+
+
+def with_first_date(df: DataFrame, keys: list[str], date: str) -> DataFrame:
+    return df.join(df.groupBy(*keys).agg(F.min(date).alias("first_date")), keys)
 
 
 def fit_trend(df: DataFrame, keys: list[str], date: str, target: str, alpha: float = 1.0) -> DataFrame:
-    """Ridge coefficients per key, from covariances combined map-side.
+    """Ridge coefficients per key, from moments that are combined map-side; no series is gathered anywhere."""
+    moments = trend_moments(with_first_date(df, keys, date), keys, date, target)
+    return solve_trend(moments, keys, alpha).drop("level")
 
-    No series is gathered anywhere: Spark merges the covariances, and the 6 x 6
-    system of each key is solved in an Arrow batch.  The intercept is not
-    penalised.
+
+def fold_trends(
+    df: DataFrame, keys: list[str], date: str, target: str, n_splits: int = 5, val_days: int = 90, min_train_days: int = 365,
+    gap_days: int = 0, holdout_days: int = 0, alpha: float = 1.0,
+) -> DataFrame:
+    """(keys, fold, first_date, coef, level) of the training part of each of ``expanding_folds``, less its newest holdout days.
+
+    One scan serves all folds: moments are summed per block of days, counted from
+    the end, and a fold adds up the blocks from its end on.
     """
-    start = df.groupBy(*keys).agg(F.min(date).alias("first_date"))
-    rows = df.where(F.col(target).isNotNull()).join(start, keys)
-    rows = rows.withColumns(_trend_terms(F.datediff(date, "first_date")))
-    pairs = [(a, b) for i, a in enumerate(TREND_TERMS) for b in TREND_TERMS[i:]]
-    moments = F.array(
-        F.count(F.lit(1)).cast("double"), F.avg(target), *[F.avg(a) for a in TREND_TERMS],
-        *[F.covar_pop(a, b) for a, b in pairs], *[F.covar_pop(a, target) for a in TREND_TERMS])
-    fitted = rows.groupBy(*keys, "first_date").agg(moments.alias("_m"))
-    return fitted.select(*keys, "first_date", _ridge_solver(alpha)("_m").alias("coef"))
+    width = math.gcd(val_days, gap_days, holdout_days)
+    numbered = _numbered_days(df.select(*keys, date).distinct(), keys, date).withColumn(
+        "_block", F.floor((F.col("_total") - 1 - F.col("_i")) / width).cast("int"))
+    rows = with_first_date(df, keys, date).join(numbered, [*keys, date])
+    blocks = trend_moments(rows, [*keys, "_total", "_block"], date, target)
+    first = F.col("fold") * val_days + gap_days
+    tagged = blocks.withColumn("fold", F.explode(F.array(*[F.lit(f) for f in range(1, n_splits + 1)]))).where(
+        (F.col("_total") - first >= min_train_days) & (F.col("_block") * width >= first + holdout_days))
+    sums = tagged.groupBy(*keys, "fold", "first_date").agg(*[F.sum(n).alias(n) for n in blocks.columns if n.startswith("m_")])
+    return solve_trend(sums, [*keys, "fold"], alpha)
 
 
 def predict_trend(df: DataFrame, coefs: DataFrame, keys: list[str], date: str, name: str = "trend") -> DataFrame:
@@ -198,48 +250,7 @@ def clip_residuals(df: DataFrame, keys: list[str], resid: str, lower: float = 0.
     return df.withColumn("_q", q).withColumn(f"{resid}_clipped", clip(resid, F.col("_q")[0], F.col("_q")[1])).drop("_q")
 
 
-# -- boosted trees ------------------------------------------------------------
-
-
-@dataclass
-class TreeModel:
-    """Boosted trees with the columns they read."""
-
-    features: list[str]
-    model: object
-
-    def predict(self, df: DataFrame, name: str) -> DataFrame:
-        ready = _assemble(df, self.features)
-        return self.model.transform(ready).withColumnRenamed("prediction", name).drop("_x")
-
-    def importance(self, top: int = 10) -> list[tuple[str, float]]:
-        scores = zip(self.features, self.model.featureImportances.toArray().tolist())
-        return sorted(scores, key=lambda p: (-p[1], p[0]))[:top]
-
-
-def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="_x", handleInvalid="keep").transform(df)
-
-
-def fit_trees(
-    df: DataFrame, features: list[str], target: str, is_eval: Column | None = None, weight: str | None = None,
-    rounds: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42,
-) -> TreeModel:
-    """Gradient boosted trees; with ``is_eval`` rows, training stops when they no longer improve.
-
-    The training rows are written once, because boosting reads them many times.
-    """
-    cols = [*features, target, *([weight] if weight else [])]
-    flag = (is_eval if is_eval is not None else F.lit(False)).alias("_eval")
-    rows = materialize(df.where(F.col(target).isNotNull()).select(*cols, flag), "tree-input")
-    trees = GBTRegressor(
-        featuresCol="_x", labelCol=target, maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
-        validationTol=0.001)
-    if is_eval is not None:
-        trees = trees.setValidationIndicatorCol("_eval")
-    if weight:
-        trees = trees.setWeightCol(weight)
-    return TreeModel(features, trees.fit(_assemble(rows, features)))
+# -- boosted trees on what the trend leaves ----------------------------------
 
 
 @dataclass
@@ -289,29 +300,44 @@ def fit_direct(df: DataFrame, keys: list[str], date: str, target: str, features:
 
 
 def cross_validate(
-    folds: DataFrame, target: str, features: list[str], fit: Callable[..., TreeModel], log: bool,
-    bounds: tuple[float, float] | None = None, weight: str | None = None, parallelism: int = 4,
+    df: DataFrame, keys: list[str], date: str, target: str, features: list[str], hybrid: bool, log: bool = False,
+    bounds: tuple[float, float] | None = None, weight: str | None = None, holdout_days: int = 30, alpha: float = 1.0,
+    lower: float = 0.01, upper: float = 0.99, parallelism: int = 5, folds: Mapping[str, int] | None = None, **tree_options,
 ) -> DataFrame:
-    """Validation predictions of every fold, back on the original scale.
-
-    ``folds`` comes from ``expanding_folds`` and should be a written table.  Only
-    the fold numbers reach the driver; each fit is a chain of jobs over the rows
-    of its fold, and ``parallelism`` chains run side by side.
+    """Validation predictions of every fold, back on the original scale: keys, date, fold, actual, prediction.
+
+    ``hybrid``: a trend per series and fold with trees on its clipped, scaled
+    residual; else trees on the target, or its log1p.  The newest ``holdout_days``
+    of each training part end the training of its trees, so a validation row has no
+    say in any prediction.  Trends, residual bounds and levels of all series and folds
+    come from relational jobs keyed by fold; then ``parallelism`` chains of tree
+    fits, one per fold, run side by side.  Only the fold numbers reach the driver.
     """
-    y = F.log1p(target) if log else as_col(target)
-    source = folds.where(F.col(target).isNotNull()).withColumn("_y", y)
+    folds = dict(folds or {})
+    known = df.where(F.col(target).isNotNull()).select(*keys, date, target, *features, *([weight] if weight else []))
+    tagged = materialize(expanding_folds(known, keys, date, holdout_days=holdout_days, **folds), "folds")
+    fitted = (F.col("role") == "train") & ~F.col("held")
+    if hybrid:
+        trends = materialize(fold_trends(known.select(*keys, date, target), keys, date, target, holdout_days=holdout_days, alpha=alpha, **folds), "trends")
+        rows = predict_trend(tagged, trends, [*keys, "fold"], date).withColumn("_r", F.col(target) - F.col("trend"))
+        limits = rows.where(fitted).groupBy(*keys, "fold").agg(F.percentile("_r", F.array(F.lit(lower), F.lit(upper))).alias("_q"))
+        rows = rows.join(limits, [*keys, "fold"])
+        label = ratio(F.when(fitted, clip("_r", F.col("_q")[0], F.col("_q")[1])).otherwise(F.col("_r")), "level")
+        rows = rows.withColumn("_y", label).drop("_r", "_q")
+    else:
+        rows = tagged.withColumn("_y", F.log1p(target) if log else as_col(target))
+    ready = materialize(rows, "fold-rows")
 
     def one(fold: int) -> DataFrame:
-        rows = source.where(F.col("fold") == fold)
-        model = fit(rows, features, "_y", is_eval=F.col("role") == "val", weight=weight)
-        out = model.predict(rows.where(F.col("role") == "val"), "_p")
-        pred = F.expm1("_p") if log else F.col("_p")
-        out = out.withColumn("prediction", clip(pred, *bounds) if bounds else pred)
-        return out.select("fold", F.col(target).alias("actual"), "prediction")
-
-    numbers = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
+        own = ready.where(F.col("fold") == fold)
+        model = fit_trees(own.where(F.col("role") == "train"), features, "_y", is_eval=F.col("held"), weight=weight, **tree_options)
+        out = model.predict(own.where(F.col("role") == "val"), "_p")
+        pred = F.col("trend") + F.col("_p") * F.col("level") if hybrid else F.expm1("_p") if log else F.col("_p")
+        return out.select(*keys, date, "fold", F.col(target).alias("actual"), (clip(pred, *bounds) if bounds else pred).alias("prediction"))
+
+    numbers = sorted(r["fold"] for r in tagged.select("fold").distinct().collect())
     with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(inheritable_thread_target(folds.sparkSession)(one), numbers))
+        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), numbers))
     return reduce(DataFrame.unionByName, parts)
 
 

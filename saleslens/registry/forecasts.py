@@ -1,19 +1,26 @@
 """Forecasting on the category panel."""
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import product
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from ..functions import day, ratio, round6
 from ..plans import forecast as Fc
-from ..plans.features import known_features
+from ..plans.boosting import hashed_sample
+from ..plans.features import known_features, period_weight
 from ..sources.files import materialize
 from .base import query
 from .views_sql import dsum
 
 KEYS = ["series_key"]
 VALUES = {"revenue": "rev_norm", "cogs": "cogs_norm"}
-# The round limit is far off: the holdout days end the training.  Spark stops at the first round
-# that gains too little (it has no patience over several rounds), so the step is 0.1, not 0.01.
-TREES = {"rounds": 1000, "depth": 6}
+# The round limit is far off: the holdout days end the training, after 50 rounds without gain.
+TREES = {"rounds": 1000, "depth": 6, "patience": 50}
+SPECIAL_FIRST, SPECIAL_LAST, SPECIAL_WEIGHT = "1998-04-06", "1999-12-31", 0.1
 
 
 def norm_sql(v):
@@ -126,7 +133,7 @@ def _(t):
     return out.withColumns({"revenue": round6("revenue"), "cogs_ratio": round6("cogs_ratio"), "cogs": F.round("cogs", 4)})
 
 
-# -- fitted models: no SQL counterpart, checked by the tests ------------------
+# -- fitted models: the trend has SQL, models with trees are checked by the tests ------
 
 TRAIN_END = "2000-12-31"
 
@@ -140,10 +147,33 @@ def model_rows(t):
     return materialize(wide, "model-table")
 
 
-@query("fc_trend_ridge")
+def trend_sql(target, alpha=1.0):
+    """The moments of the training days and, step by step, the coefficients: the last step has b_0 to b_6."""
+    unit = "t.date - t.first_date"
+    terms = {"t": f"({unit}) / 365e0", "t2": f"(({unit}) / 365e0) * (({unit}) / 365e0)"}
+    for n, (f, k) in {"s1": ("sin", 1), "c1": ("cos", 1), "s2": ("sin", 2), "c2": ("cos", 2)}.items():
+        terms[n] = f"{f}({k} * (2 * pi() * (({unit}) / 365e0)))"
+    names = list(terms)
+    sums = ["sum(1e0) AS m_n", "sum(y) AS m_y"]
+    for i, a in enumerate(names):
+        sums += [f"sum({a}) AS m_{a}", f"sum({a} * y) AS m_{a}_y"] + [f"sum({a} * {b}) AS m_{a}_{b}" for b in names[i:]]
+    steps = [", ".join(f"{e} AS {n}" for n, e in step.items()) for step in Fc.ridge_steps(alpha)]
+    chain = ",\n".join(f"r{i + 1} AS (SELECT *, {step} FROM r{i})" for i, step in enumerate(steps))
+    return f"""
+started AS (SELECT series_key, date, revenue, cogs, min(date) FILTER (date <= DATE '{TRAIN_END}') OVER (PARTITION BY series_key) AS first_date FROM panel_v),
+terms AS (SELECT series_key, date, {target} AS target, CAST({target} AS DOUBLE) AS y, {', '.join(f'{e} AS {n}' for n, e in terms.items())} FROM started t),
+r0 AS (SELECT series_key, {', '.join(sums)} FROM terms WHERE date <= DATE '{TRAIN_END}' AND y IS NOT NULL GROUP BY series_key),
+{chain},
+trended AS (
+  SELECT terms.*, b_0 + {' + '.join(f'b_{i + 1} * {n}' for i, n in enumerate(names))} AS trend
+  FROM terms JOIN r{len(steps)} USING (series_key))"""
+
+
+@query("fc_trend_ridge", f"WITH {trend_sql('revenue')}\nSELECT series_key, date, target AS revenue, round(trend, 1) AS trend FROM trended")
 def _(t):
     coefs = Fc.fit_trend(t.stored("panel").where(F.col("date") <= day(TRAIN_END)), KEYS, "date", "revenue")
-    return Fc.predict_trend(t.stored("panel").select("series_key", "date", "revenue"), coefs, KEYS, "date")
+    out = Fc.predict_trend(t.stored("panel").select("series_key", "date", "revenue"), coefs, KEYS, "date")
+    return out.withColumn("trend", F.round("trend", 1))
 
 
 @query("fc_residual_gbt")
@@ -175,26 +205,31 @@ def _(t):
 
 @query("fc_cv")
 def _(t):
-    wide = model_rows(t).where(F.col("revenue").isNotNull())
+    """Metrics over the folds for revenue and cost ratio, each by direct trees and by the hybrid, weighted."""
+    wide = model_rows(t)
     features = features_of(t, wide)
-    folds = materialize(Fc.expanding_folds(wide.select(*KEYS, "date", "revenue", "cogs_ratio", *features), KEYS, "date"), "folds")
+    weighted = period_weight(wide, "date", day(SPECIAL_FIRST), day(SPECIAL_LAST), SPECIAL_WEIGHT)
 
-    def fit(rows, cols, target, **kw):
-        return Fc.fit_trees(rows, cols, target, **TREES, **kw)
+    def validated(case):
+        (target, log, bounds), hybrid = case
+        preds = Fc.cross_validate(weighted, KEYS, "date", target, features, hybrid, log, bounds, weight="sample_weight", **TREES)
+        return Fc.metrics(preds, ["fold"], "actual", "prediction").withColumns({
+            "target": F.lit(target), "model": F.lit("hybrid" if hybrid else "direct")})
 
-    parts = []
-    for target, log, bounds in (("revenue", True, None), ("cogs_ratio", False, (0.0, 1.0))):
-        preds = Fc.cross_validate(folds, target, features, fit, log, bounds)
-        parts.append(Fc.metrics(preds, ["fold"], "actual", "prediction").withColumn("target", F.lit(target)))
-    return Fc.metric_summary(parts[0].unionByName(parts[1]), ["target"])
+    cases = list(product((("revenue", True, None), ("cogs_ratio", False, (0.0, 1.0))), (False, True)))
+    with ThreadPoolExecutor(len(cases)) as pool:
+        parts = list(pool.map(inheritable_thread_target(t.spark)(validated), cases))
+    return Fc.metric_summary(reduce(DataFrame.unionByName, parts), ["target", "model"])
 
 
 @query("fc_importance")
 def _(t):
+    """The ten features with the largest mean absolute contribution over 500 training rows."""
     wide = model_rows(t)
     features = features_of(t, wide)
-    model = Fc.fit_direct(wide.where(F.col("date") <= day(TRAIN_END)), KEYS, "date", "revenue", features, **TREES)
-    return t.spark.createDataFrame(model.importance(10), "feature STRING, importance DOUBLE")
+    train = wide.where((F.col("date") <= day(TRAIN_END)) & F.col("revenue").isNotNull())
+    model = Fc.fit_direct(train, KEYS, "date", "revenue", features, **TREES)
+    return model.importance(hashed_sample(train, 500, [*KEYS, "date"]), 10)
 
 
 @query("fc_submission")

@@ -107,16 +107,60 @@ def test_hybrid_beats_the_series_mean(spark):
     assert scored.count() == test.count() and min(r2) > 0.3
 
 
-def test_cross_validation_has_every_validation_row(spark):
-    df = with_features(panel(spark, n=560, series=1))
-    folds = Fc.expanding_folds(df, ["series_key"], "date")
-
-    def fit(rows, cols, target, **kw):
-        return Fc.fit_trees(rows, cols, target, rounds=3, depth=3, **kw)
-
-    preds = Fc.cross_validate(folds, "revenue", ["dow", "doy"], fit, log=True)
-    assert {r["fold"]: r["count"] for r in preds.groupBy("fold").count().collect()} == {1: 90, 2: 90}
-    assert preds.where(F.col("prediction").isNull() | (F.col("prediction") < 0)).count() == 0
+KEYS = ["series_key"]
+SMALL_TREES = {"rounds": 6, "depth": 3, "patience": 3}
+
+
+@pytest.mark.parametrize("hybrid", [False, True])
+def test_cross_validation(spark, hybrid):
+    """Every validation row is predicted, and none of their targets has a say in any prediction."""
+    df = with_features(panel(spark, n=560, series=2)).withColumn("w", F.when(F.col("dow") == 2, 0.5).otherwise(1.0))
+
+    def run(rows):
+        out = Fc.cross_validate(rows, KEYS, "date", "revenue", ["dow", "doy"], hybrid, log=True, weight="w", **SMALL_TREES)
+        return {(r.series_key, r.date, r.fold): r.prediction for r in out.collect()}
+
+    got = run(df)
+    folds = [k[2] for k in got]
+    assert {f: folds.count(f) for f in set(folds)} == {1: 180, 2: 180} and all(p > 0 for p in got.values())
+    # Fold 1 validates on the newest 90 days; other targets there change its errors, not its predictions.
+    other = df.withColumn("revenue", F.when(F.col("date") >= F.lit(START + dt.timedelta(days=470)), F.col("revenue") * 3).otherwise(F.col("revenue")))
+    changed = run(other)
+    assert {k: v for k, v in changed.items()} == pytest.approx(got)
+
+
+def test_weights_change_the_fit(spark):
+    df = with_features(panel(spark, n=480, series=1)).withColumns({"w": F.when(F.col("dow") == 5, 0.01).otherwise(1.0), "one": F.lit(1.0)})
+    fits = [[r.prediction for r in Fc.cross_validate(df, KEYS, "date", "revenue", ["dow"], False, weight=w, **SMALL_TREES).orderBy("date").collect()]
+            for w in ("one", None, "w")]
+    assert fits[0] == pytest.approx(fits[1]) and fits[0] != pytest.approx(fits[2])
+
+
+@pytest.mark.parametrize("gap,holdout", [(0, 0), (0, 30), (7, 20)])
+def test_fold_trends_equal_those_of_copied_rows(spark, gap, holdout):
+    df = panel(spark, n=700).where("revenue > 0").where(F.dayofmonth("date") != 13)  # with missing days
+    df = df.withColumn("revenue", F.when(F.dayofmonth("date") != 20, F.col("revenue")))  # and unknown targets
+    folds = Fc.expanding_folds(df, KEYS, "date", gap_days=gap, holdout_days=holdout).where("role = 'train' and not held")
+    want = {(r.series_key, r.fold): r for r in Fc.fit_trend(folds, [*KEYS, "fold"], "date", "revenue").collect()}
+    got = {(r.series_key, r.fold): r for r in Fc.fold_trends(df, KEYS, "date", "revenue", gap_days=gap, holdout_days=holdout).collect()}
+    assert set(got) == set(want) and {f for _, f in got} >= {1, 2}
+    for k, r in want.items():
+        assert got[k].first_date == r.first_date
+        np.testing.assert_allclose(got[k].coef, r.coef, rtol=1e-7)
+
+
+def test_short_series_have_a_trend(spark):
+    rows = [("one", START, 5.0)] + [("two", START + dt.timedelta(days=i), 7.0) for i in range(2)] + [("flat", START + dt.timedelta(days=i), 3.0) for i in range(900)]
+    df = spark.createDataFrame(rows + [("none", START, None)], "series_key string, date date, revenue double")
+    out = Fc.predict_trend(df, Fc.fit_trend(df, KEYS, "date", "revenue"), KEYS, "date").collect()
+    assert {r.series_key for r in out} == {"one", "two", "flat"}  # a series without a known target has no trend
+    assert all(r.trend == pytest.approx(r.revenue, abs=1e-6) for r in out)
+
+
+def test_the_trend_is_fitted_without_python(spark):
+    df = panel(spark, n=400)
+    plan = Fc.fit_trend(df, KEYS, "date", "revenue")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_template_order_and_missing_days(spark):
