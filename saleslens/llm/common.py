@@ -40,3 +40,27 @@ def prefix_sums(df: DataFrame, order: list[str], sums: dict[str, Column]) -> Dat
     shifts = totals.select("_range", *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_s_{k}") for k in sums])
     return ranged.join(shifts, "_range").select(
         *df.columns, *[(F.sum(f"_v_{k}").over(inside) + F.col(f"_s_{k}")).alias(k) for k in sums])
+
+
+class Scratch:
+    """Written tables of one job, each deleted as soon as no later step reads it.
+
+    What is still to be computed must not read a dropped table; lost executors then
+    only repeat steps that read tables which are still there.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_folder(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            _, path = self.paths.pop(id(table))
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)

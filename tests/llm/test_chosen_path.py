@@ -84,8 +84,30 @@ def test_all_links_are_found(spark):
 
 
 def test_blocks_of_a_large_group(spark, monkeypatch):
-    monkeypatch.setattr(cp, "BLOCK", 16)
-    rows = list(enumerate(near_copies(random.Random(5), 120, changes=4)))
+    """Blocks of about 16 sets: tight, loose and mixed groups, with copies, and a set that is equally far from all."""
+    monkeypatch.setattr(cp, "BLOCK_BYTES", 16 * 1024)
+    monkeypatch.setattr(cp, "BLOCK_SETS", 16)
+    rng = random.Random(5)
+    texts = near_copies(rng, 120, changes=4) + near_copies(rng, 150, words=400, changes=3) + near_copies(rng, 60, words=30, changes=2)
+    base = [f"m{i}" for i in range(120)]
+    for k in range(160):  # ever further from the first
+        texts.append(" ".join(base[k % 40:] + [f"e{i}" for i in range(k % 40)]))
+    texts += [texts[3]] * 20 + [texts[130]] * 5
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_large_buckets_leave_with_their_center(spark, monkeypatch):
+    """Small buckets of 8: several groups, a passage that many share, and levels until no large bucket is left."""
+    monkeypatch.setattr(cp, "SMALL", 8)
+    monkeypatch.setattr(cp, "DRAWN", 6)
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(50))
+    texts = [passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(rng.choice((10, 30, 60)))) for _ in range(200)]
+    for n in (40, 60, 90):
+        texts += near_copies(rng, n, words=80, changes=5)
+    rows = list(enumerate(texts))
     assert found(spark, rows) == brute(rows)
 
 
@@ -120,14 +142,19 @@ def test_helpers():
     texts = ["a b c d e f g", "b c d e f g h", "", "x y"]
     sets = cp.shingle_sets(pa.array(texts))
     assert [len(s) for s in sets] == [3, 3, 0, 1]
-    assert cp.shared([sets[0], sets[1], sets[3]]).tolist()[0][1] == 2
+    assert cp.shared([sets[0], sets[1]], [sets[1], sets[3], sets[0]]).tolist() == [[2, 0, 3], [3, 0, 2]]
+    assert cp.shared([], [sets[0]]).shape == (0, 1) and cp.shared([sets[0]], [sets[2]]).tolist() == [[0]]
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 900).astype(np.uint64)
     b = np.concatenate([a[:800], rng.integers(0, 2**63, 100).astype(np.uint64)])
     assert abs((cp.sketch(a) == cp.sketch(b)).mean() - 0.8) < 0.15
+    packed = [cp.signature(cp.sketch(x)).tobytes() for x in (a, b)]
+    two = cp.symbols(pa.array(packed, pa.binary()))
+    assert len(packed[0]) == cp.WIDTH // 4 and two.max() == 3 and (two[0] == two[1]).mean() >= cp.CANDIDATE
+    assert (two[0] == two[1])[cp.sketch(a) == cp.sketch(b)].all()
     assert 1 - (1 - cp.survival()) ** cp.runs_for(0.9999) >= 0.9999
 
 
 def test_recall_holds_at_every_depth():
-    for depth in range(1, cp.MAX_LEVEL + 1):
+    for depth in (1, 2, 3, 6, 20, 1000):
         assert 1 - (1 - cp.survival(depth)) ** cp.runs_for(cp.RECALL) >= cp.RECALL

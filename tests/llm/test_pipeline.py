@@ -73,7 +73,7 @@ def test_run_and_registration(spark, steps):
     import __spark_entry__ as entry
 
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
-    assert sum(1 for q in entry.queries() if q.startswith("op")) == 10
+    assert sum(1 for q in entry.queries() if q.startswith("op")) == 13
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     got = sorted(tuple(r[c] for c in columns) for r in corpus_pipeline.run(spark, FOLDER).collect())
     assert got == sorted(tuple(r[c] for c in columns) for r in steps["packing"][1].collect())
