@@ -49,8 +49,11 @@ from .common import Scratch, materialize, read
 from .quality_mil import text_parts
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 4, 5  # shingle length; similarity of 4/5 or more
-WIDTH, BRANCH, RECALL = 128, 1.6, 0.9999
-SMALL = 64
+#: With two branches on average, sets that share less than half of their tokens part sooner or later, and those that
+#: share more are in the core of their center.
+WIDTH, BRANCH, RECALL = 128, 2.0, 0.9999
+#: Buckets of up to so many sets are compared as a whole.
+SMALL = 1024
 #: Shares of equal 2-bit symbols.  Sets of similarity 0.8 share 0.85 of them (0.8 and a quarter of the rest); four
 #: standard deviations below is a candidate.  What is a candidate to a set in the core of a center shares
 #: at least NEAR with the center, since unequal shares add up like distances.
@@ -238,6 +241,14 @@ def grouped(batches, *keys: str):
         yield rest.combine_chunks()
 
 
+def alike(s: np.ndarray) -> np.ndarray:
+    """For all pairs of rows the places with equal symbols."""
+    if len(s) <= 8:
+        return (s[:, None, :] == s[None, :, :]).sum(axis=2)
+    each = (s[:, :, None] == np.arange(4, dtype=np.uint8)).reshape(len(s), -1).astype(np.float32)
+    return each @ each.T
+
+
 def compare_small(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
     """Candidate edges of small buckets (path, cid), as stars; ``sigs``: cid, n, sig."""
     # Runs often find the same bucket: it is compared once.
@@ -249,8 +260,7 @@ def compare_small(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
         a, b = [], []
         for own in grouped(batches, "bucket"):
             ids, n = own.column("cid").to_numpy(), own.column("n").to_numpy().astype(np.int64)
-            s = symbols(own.column("sig"))
-            near = (s[:, None, :] == s[None, :, :]).mean(axis=2) >= CANDIDATE
+            near = alike(symbols(own.column("sig"))) >= CANDIDATE * WIDTH
             near &= np.minimum(n[:, None], n) * DENOMINATOR >= np.maximum(n[:, None], n) * NUMERATOR
             root = stars(near, ids)
             a += ids[root != ids].tolist()
@@ -260,7 +270,7 @@ def compare_small(buckets: DataFrame, sigs: DataFrame) -> DataFrame:
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return members.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, EDGES).distinct()
+    return members.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, EDGES)
 
 
 def centers(rows: DataFrame, key: str) -> DataFrame:
@@ -335,11 +345,10 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
         edges.append(scratch.keep(kin.select(F.col("cid").alias("a"), F.xxhash64("path", F.lit("center")).alias("b")), "edges"))
         rest = scratch.keep(judged.where(~core).join(counts.where("rest > 1"), "path").select("path", "cid", "rest"), "rest")
         scratch.drop(judged, counts)
-        edges.append(scratch.keep(compare_small(rest.where(F.col("rest") <= SMALL), sigs), "edges"))
-        rows = scratch.keep(split(rest.where(F.col("rest") > SMALL), classes), "paths")
+        # What is few now is compared on the next level.
+        few = rest.where(F.col("rest") <= SMALL).select("path", "cid")
+        rows = scratch.keep(split(rest.where(F.col("rest") > SMALL), classes).unionByName(few), "paths")
         scratch.drop(rest)
-        if rows.isEmpty():
-            break
     groups = components(reduce(DataFrame.unionByName, edges))
     scratch.drop(*edges)
     return groups
