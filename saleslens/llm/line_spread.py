@@ -8,11 +8,17 @@ are judged.  All occurrences of a boilerplate line go, except the first one (the
 smallest document id, then position), so that content which was copied to many
 sites is kept once.
 
+Texts are split into lines once; what the counts need of each line, some forty
+bytes, is written.  A second pass over the texts puts those together again that lose
+lines.
+
 Defined results: lines are compared with outer white space cut off; blank lines
 are never removed; NULL text stays NULL and has 0 lines; NULL sites are not
-counted; documents are told apart by id and text, so rows that repeat both are
-treated alike; a document all of whose lines go keeps an empty text; an empty
-table gives no rows.
+counted; a NULL doc_id goes before all others; documents are told apart by id and
+text, so rows that repeat both are treated alike, and where different texts repeat
+an id the hash of the text decides which place is the first; a document all of whose
+lines go keeps an empty text; very long texts and lines are taken whole; an empty
+table gives no rows; other columns, whatever their names, pass through.
 """
 
 from __future__ import annotations
@@ -27,14 +33,19 @@ MIN_SITES = 10
 LG_K, NEAR = 12, 0.1
 
 
+WHITE = " \t\r\x0b\x0c"
+
+
 def lines(docs: DataFrame) -> DataFrame:
-    """One row per non-blank line: document key, site, position and a 128-bit hash of the line."""
+    """One row per non-blank line, written: document key, site, position and two hashes of the line, 128 bits together."""
     split = docs.where(F.col("text").isNotNull()).select(
         "doc_id", F.col("source").alias("site"), F.xxhash64("text").alias("_t"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    line = F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))
-    return (
+    line = F.btrim(F.col("line"), F.lit(WHITE))
+    # A hash of several columns passes each one's on as the seed of the next: the constant comes
+    # first, so that the second hash goes over the line with a seed of its own.
+    return materialize(
         split.withColumn("line", line).where("line != ''")
-        .select("doc_id", "_t", "site", "pos", F.xxhash64("line").alias("h"), F.xxhash64("line", F.lit(1)).alias("g")))
+        .select("doc_id", "_t", "site", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g")), "lines")
 
 
 def boilerplate(rows: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
@@ -57,38 +68,36 @@ def boilerplate(rows: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the text rebuilt, and ``_lines`` and ``_removed`` as counts."""
+    """One row per row of ``docs``: that row (``own``), its new ``text``, ``n_lines`` and ``n_removed``."""
     rows = lines(docs)
     bad = boilerplate(rows, min_sites)
     place = F.struct("doc_id", "_t", "pos")
     gone = (
         rows.join(bad, ["h", "g"]).where(~place.eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("_id"), "_t").agg(F.collect_set("pos").alias("_gone"))
-        .select("_id", F.col("_t").alias("_text_hash"), "_gone"))
-    joined = docs.join(
-        gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_text_hash"]), "left")
-    parts = F.split(docs["text"], "\n")
+        .groupBy(F.col("doc_id").alias("_id"), "_t").agg(F.collect_set("pos").alias("_gone")))
+    # The row is kept as one struct, so that no name of its columns can clash.
+    joined = docs.select(F.struct(*docs.columns).alias("own")).join(
+        gone, F.col("own.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("own.text") == F.col("_t")), "left")
+    old = F.col("own.text")
+    parts = F.split(old, "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), docs["text"]).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    text = F.when(F.col("_gone").isNull(), old).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
     return joined.select(
-        *[text.alias("text") if c == "text" else docs[c] for c in docs.columns],
-        F.when(docs["text"].isNull(), 0).otherwise(F.size(parts)).cast("bigint").alias("_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("_removed"))
+        "own", text.alias("text"), F.when(old.isNull(), 0).otherwise(F.size(parts)).cast("bigint").alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"))
 
 
 def op7_line_spread(spark, sf_dir: str) -> DataFrame:
-    out = remove_boilerplate(read(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), "text")
+    out = remove_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return out.select("own.doc_id", "n_lines", "n_removed", "text")
 
 
 def line_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines; documents of which nothing is left go."""
     out = remove_boilerplate(docs)
-    empty = (F.col("_removed") > 0) & (F.trim("text") == "")
-    n_chars = F.length("text").cast("bigint")
-    cols = [n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return out.where(~F.coalesce(empty, F.lit(False))).select(*cols)
+    empty = (F.col("n_removed") > 0) & (F.trim("text") == "")
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
+    return out.where(~F.coalesce(empty, F.lit(False))).select(*[new.get(c, F.col(f"own.`{c}`")).alias(c) for c in docs.columns])
 
 
 OP7_SQL = r"""
@@ -97,12 +106,12 @@ WITH parts AS (
   FROM documents WHERE text IS NOT NULL),
 trimmed AS (SELECT *, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS line FROM parts),
 bad AS (
-  SELECT line, min(row(doc_id, pos)) AS first FROM trimmed WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
+  SELECT line, min(row(doc_id IS NOT NULL, doc_id, pos)) AS first FROM trimmed WHERE line <> '' GROUP BY line HAVING count(DISTINCT source) >= 10),
 rebuilt AS (
-  SELECT t.doc_id, count(*) AS n_lines, count(*) FILTER (b.line IS NOT NULL AND row(t.doc_id, t.pos) <> b.first) AS n_removed,
-         string_agg(raw, chr(10) ORDER BY pos) FILTER (b.line IS NULL OR row(t.doc_id, t.pos) = b.first) AS text
+  SELECT t.doc_id, count(*) AS n_lines, count(*) FILTER (b.line IS NOT NULL AND row(t.doc_id IS NOT NULL, t.doc_id, t.pos) <> b.first) AS n_removed,
+         string_agg(raw, chr(10) ORDER BY pos) FILTER (b.line IS NULL OR row(t.doc_id IS NOT NULL, t.doc_id, t.pos) = b.first) AS text
   FROM trimmed t LEFT JOIN bad b ON t.line = b.line GROUP BY t.doc_id)
 SELECT d.doc_id, coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_removed, 0) AS n_removed,
        CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text
-FROM documents d LEFT JOIN rebuilt r ON d.doc_id = r.doc_id
+FROM documents d LEFT JOIN rebuilt r ON d.doc_id IS NOT DISTINCT FROM r.doc_id
 """
