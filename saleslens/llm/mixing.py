@@ -9,10 +9,14 @@ of a source repeats whole epochs first and cuts in a fresh random order.
 No source is ever in one task: sizes are pre-aggregated by (source, range), and
 the number of ranges follows the rows of the source.
 
+A row's key is the hash of its id.  Rows that share an id within a source, or have
+none, are numbered by size, and the number goes into the hash: they are drawn one
+by one like the others, also where one id stands on a third of all rows.
+
 Defined results: NULL text has size 0; a NULL source is a source of its own and
-comes last; rows that repeat an id within a source share its key and are taken
-together; an empty table gives no rows; a source of size 0 has target 0; a size
-of 0 takes no words.  Only the named columns are used, others pass through.
+comes last; rows of one id and size stand for each other; an empty table gives no
+rows; a source of size 0 has target 0; a size of 0 takes no words; very long texts
+are counted whole.  Only the named columns are used, others pass through.
 """
 
 from __future__ import annotations
@@ -67,9 +71,9 @@ def cuts(sizes: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
         plan.withColumn("epochs", epochs).withColumn("bits", bits)
         .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")), "mix-plan")
     keyed = (
-        sizes.select("doc_id", "size", F.col("source").alias("_source"))
+        sizes.select("doc_id", "nth", "size", F.col("source").alias("_source"))
         .join(plan.where("budget > 0").select("source", "epochs", "bits", "budget"), F.col("_source").eqNullSafe(F.col("source")))
-        .withColumn("key", hash_key(F.lit(seed), F.col("epochs"), F.col("doc_id")))
+        .withColumn("key", row_key(seed, F.col("epochs")))
         .withColumn("range", range_of(F.col("key"), F.col("bits"))))
     totals = keyed.groupBy("source", "range", "budget").agg(F.sum("size").alias("total"))
     upto = F.sum("total").over(W.partitionBy("source").orderBy("range"))
@@ -79,14 +83,14 @@ def cuts(sizes: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
         .select(F.col("source").alias("_at"), F.col("range").alias("_range"), "before"))
     units = (
         keyed.join(crossed, F.col("source").eqNullSafe(F.col("_at")) & (F.col("range") == F.col("_range")))
-        .groupBy("source", "range", "budget", "before", "key", "doc_id").agg(F.sum("size").alias("total")))
-    running = F.sum("total").over(W.partitionBy("source", "range").orderBy("key", "doc_id"))
+        .groupBy("source", "range", "budget", "before", "key", "doc_id", "nth").agg(F.sum("size").alias("total")))
+    running = F.sum("total").over(W.partitionBy("source", "range").orderBy("key", "doc_id", "nth"))
     taken = (
         units.withColumn("start", F.col("before") + running - F.col("total"))
         # The row that crosses the budget is taken if that ends nearer to it.
         .where("start < budget and start + total / 2 <= budget"))
     last = taken.groupBy(F.col("source").alias("_cut_source"), F.col("range").alias("_cut_range")).agg(
-        F.max(F.struct("key", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"))).alias("last"))
+        F.max(F.struct("key", "doc_id", "nth")).alias("last"))
     at = crossed.select("_at", F.col("_range").alias("cut_range")).join(
         last, F.col("_at").eqNullSafe(F.col("_cut_source")), "left").select("_at", "cut_range", "last")
     return materialize(plan.join(at, F.col("source").eqNullSafe(F.col("_at")), "left").drop("_at"), "mix-cuts")
@@ -96,37 +100,62 @@ def range_of(key: Column, bits: Column) -> Column:
     return F.call_function("shiftright", key, F.lit(KEY_BITS) - bits)
 
 
-def with_copies(docs: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with source_size, target and copies (how often the mix takes the row)."""
+def row_key(seed: int, epochs: Column) -> Column:
+    """The hash-random key of a row (doc_id, nth); nth is 0 where no other row of the source has the id."""
+    alone = hash_key(F.lit(seed), epochs, F.col("doc_id"))
+    return F.when(F.col("nth") == 0, alone).otherwise(hash_key(F.lit(seed), epochs, F.col("doc_id"), F.col("nth")))
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Written ``rows`` (row, doc_id, source, size, ...) with ``nth``: the place among rows of the same source and id, 0 if alone.
+
+    The numbers are prefix sums over ranges, so an id on very many rows is spread.
+    """
+    repeats = materialize(
+        rows.groupBy(F.col("source").alias("_s"), F.col("doc_id").alias("_d")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeats")
+    if repeats.isEmpty():
+        return rows.withColumn("nth", F.lit(0).cast("bigint"))
+    same = F.col("source").eqNullSafe(F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+    several = rows.select("row", "doc_id", "source", "size").join(repeats, same, "left_semi")
+    counted = materialize(prefix_sums(several, ["source", "doc_id", "size", "row"], {"at": F.lit(1)}), "counted")
+    first = counted.groupBy(F.col("source").alias("_s"), F.col("doc_id").alias("_d")).agg(F.min("at").alias("first"))
+    places = materialize(counted.join(first, same).select(F.col("row").alias("_r"), (F.col("at") - F.col("first") + 1).alias("nth")), "places")
+    return rows.join(places, F.col("row") == F.col("_r"), "left").drop("_r").withColumn("nth", F.coalesce("nth", F.lit(0)))
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
+    """``rows`` (doc_id, nth, source, ...) with source_size, target and copies (how often the mix takes the row)."""
     p = plan.select(F.struct(F.col("source").alias("name"), *[c for c in plan.columns if c != "source"]).alias("_p"))
-    key = hash_key(F.lit(seed), F.col("_p.epochs"), F.col("doc_id"))
-    at = F.struct(key.alias("key"), F.coalesce("doc_id", F.lit(-(2**63))).alias("doc_id"))
+    key = row_key(seed, F.col("_p.epochs"))
+    at = F.struct(key.alias("key"), F.col("doc_id"), F.col("nth"))
     place = range_of(key, F.col("_p.bits"))
     cut = F.col("_p.cut_range")
+    # Structs order NULL first, as the cut does.
     inside = F.coalesce((place < cut) | ((place == cut) & (at <= F.col("_p.last"))), F.lit(False))
-    joined = docs.join(p, F.col("source").eqNullSafe(F.col("_p.name")))
+    joined = rows.join(p, F.col("source").eqNullSafe(F.col("_p.name")))
     return joined.select(
-        *docs.columns, F.col("_p.source_size").alias("source_size"), F.col("_p.target").alias("target"),
+        *rows.columns, F.col("_p.source_size").alias("source_size"), F.col("_p.target").alias("target"),
         (F.col("_p.epochs") + inside.cast("int")).cast("int").alias("copies"))
 
 
-def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sizes, plan) of documents with doc_id, text, source; sizes has one row per document."""
-    sizes = materialize(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "sizes")
-    return sizes, cuts(sizes, targets(sizes))
+def mix(docs: DataFrame, own: bool = False) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies, and with ``own`` the input row as a struct."""
+    kept = [F.struct(*docs.columns).alias("own")] if own else []
+    rows = materialize(docs.select(
+        *kept, "doc_id", "source", words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row")), "sizes")
+    placed = numbered(rows)
+    return with_copies(placed, cuts(placed, targets(rows)))
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
-    sizes, plan = mix(read(spark, sf_dir, "documents"))
-    return with_copies(sizes, plan).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    out = mix(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    _, plan = mix(docs)
-    own = with_copies(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source"), plan)
-    return own.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")
+    out = mix(docs, own=True).where("copies > 0")
+    return out.select("own", F.explode(F.sequence(F.lit(1), "copies"))).select("own.*")
 
 
 OP6_SQL = r"""
@@ -144,11 +173,13 @@ plan AS (
   SELECT source, n, source_size, least(cap::DOUBLE, (SELECT arg_min(level, ws) FROM levels WHERE level <= ratio) * w) AS target
   FROM levels),
 epochs AS (SELECT *, floor(target / greatest(source_size, 1))::BIGINT AS epochs FROM plan),
+places AS (
+  SELECT *, count(*) OVER w AS same, row_number() OVER (PARTITION BY source, doc_id ORDER BY size) AS nth FROM sizes WINDOW w AS (PARTITION BY source, doc_id)),
 keyed AS (
   SELECT s.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS budget,
-         ('0x' || substr(md5('17:' || e.epochs || ':' || coalesce(s.doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS key
-  FROM sizes s JOIN epochs e ON s.source IS NOT DISTINCT FROM e.source),
-summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - size AS start FROM keyed)
+         ('0x' || substr(md5('17:' || e.epochs || ':' || coalesce(s.doc_id::VARCHAR, 'null') || CASE WHEN same > 1 THEN ':' || nth ELSE '' END), 1, 15))::BIGINT AS key
+  FROM places s JOIN epochs e ON s.source IS NOT DISTINCT FROM e.source),
+summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, nth ROWS UNBOUNDED PRECEDING) - size AS start FROM keyed)
 SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN start < budget AND start + size / 2 <= budget THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM summed
