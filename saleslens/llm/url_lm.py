@@ -1,27 +1,31 @@
 """URL filter: rules first, then a character language-model ratio.
 
 URLs that a rule decides teach two variable-order Markov models, one of allowed
-and one of blocked URLs.  A context of three characters is used as far as it was
-seen; Witten-Bell smoothing mixes every order with the shorter ones, down to a
-uniform distribution.  An undecided URL gets the mean of log p(allow) - log p(block)
-over its characters; the cut between the verdicts lies where it parts the two
-classes on a fifth of the decided URLs, which the models have not seen.
-
-Characters are mapped to 32 symbols (letters, digit, ``/``, ``.``, ``-``, other,
-start), so the table of log ratios has exactly 32**4 entries (8 MB) whatever the
-input: it is a bounded scalar of the plan, and URLs are scored without a join.
-All work is in built-in functions.
+and one of blocked URLs, over the characters as they stand.  A context of up to
+``ORDER`` characters is used as far as it was seen; Witten-Bell smoothing mixes every
+order with the shorter ones, down to a uniform distribution over the characters met.
+An undecided URL gets the mean of log p(allow) - log p(block) over its characters;
+the cut between the verdicts lies where it parts the two classes on a fifth of the
+decided URLs, which the models have not seen.
+
+The models are tables of counted grams (a character with the ``ORDER`` before it),
+which grow with the URLs.  Log ratios are computed for the distinct grams of the URLs to
+score, order by order, by joins of counts; the URLs' grams then meet them in a join.
+Grams that stand for more than one in ``HOT`` of all are at most ``HOT`` rows, so
+these are broadcast, and no key of the join is on more rows than that.  All work is
+in built-in functions.
 
 Defined results: a NULL url, or one without ``://``, has an empty host and path,
-no rule and a score of 0; an empty tail scores 0; where the rules teach only one
-class or none the cut is 0 and a missing model is uniform; a score at the cut is
-allowed; repeated rows stay repeated; other columns of the input are ignored.
+no rule and a score of 0; an empty tail scores 0; a very long url is read whole, in
+time linear in its length; where the rules teach only one class or none the cut is 0
+and a missing model is uniform; a score at the cut is allowed; repeated rows stay
+repeated and teach as often; an empty table gives no rows; other columns of the
+input, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import string
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +36,12 @@ RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
     ("allow", "com/fr/"), ("block", "com/de/"),
 )
-SYMBOLS, ORDER = 32, 3
+#: Characters of context at most, and what stands before the first character.
+ORDER, START = 5, "\x02"
+#: Grams on more than one in HOT of all places are joined by broadcast; they are at most HOT.
+HOT = 4096
+#: Log ratios are added up as whole multiples of 2**-SCORE_BITS, so that scores do not depend on the order of the sum.
+SCORE_BITS = 40
 #: One in so many decided URLs calibrates the cut; the others are counted.
 FOLDS, SEED = 5, 3
 
@@ -56,56 +65,61 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return chosen
 
 
-def with_grams(df: DataFrame) -> DataFrame:
-    """``df`` with ``_grams``: for each character after ``://``, its symbol and the three before it as one number.
+def grams_of(url: Column) -> Column:
+    """For each character after ``://``, that character with the ORDER before it.
 
     The shifted arrays are made outside the lambda, so the work is linear in the url.
     """
-    tail = F.lower(F.coalesce(F.regexp_extract("url", r"(?s)://(.*)", 1), F.lit("")))
-    # a-z, then { digit, | slash, } dot, ~ dash and DEL for the rest: 31 codes in a row.
-    marked = F.translate(tail, "0123456789/.-{|}~", "{" * 10 + "|}~" + "\x7f" * 4)
-    marked = F.regexp_replace(marked, r"[^a-z{|}~\x7f]", "\x7f")
-    codes = F.transform(F.filter(F.split(marked, ""), lambda c: c != ""), lambda c: F.ascii(c) - 96)
-    shifted = [F.concat(F.array_repeat(F.lit(0), k), codes).alias(f"c{k}") for k in range(ORDER, -1, -1)]
-    zipped = F.slice(F.arrays_zip(*shifted), 1, F.size(codes))
-    return df.withColumn("_grams", F.transform(
-        zipped, lambda z: reduce(lambda a, k: a * SYMBOLS + z[f"c{k}"], range(ORDER - 1, -1, -1), z[f"c{ORDER}"])))
-
-
-def log_ratio_table(counts: DataFrame) -> DataFrame:
-    """(gram, ratio) for all 32**4 grams, from counts (gram, allow, block) of the seen ones."""
-    spark = counts.sparkSession
+    tail = F.coalesce(F.regexp_extract(url, r"(?s)://(.*)", 1), F.lit(""))
+    chars = F.filter(F.split(tail, ""), lambda c: c != "")
+    shifted = [F.concat(F.array_repeat(F.lit(START), k), chars).alias(f"c{k}") for k in range(ORDER, -1, -1)]
+    zipped = F.slice(F.arrays_zip(*shifted), 1, F.size(chars))
+    return F.transform(zipped, lambda z: F.concat(*[z[f"c{k}"] for k in range(ORDER, -1, -1)]))
+
+
+def log_ratios(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(gram, ratio), written: log p(allow) - log p(block) of the distinct grams ``asked``, from counts (gram, allow, block)."""
+    letters = materialize(counts.select(F.right("gram", F.lit(1)).alias("c")).distinct().agg(
+        (F.lit(1.0) / (F.count(F.lit(1)) + 1)).alias("p")), "url-letters").select("p").scalar()
     lower = None
     for order in range(ORDER + 1):
-        seen = counts.groupBy((F.col("gram") % SYMBOLS ** (order + 1)).alias("gram")).agg(
+        seen = counts.groupBy(F.right("gram", F.lit(order + 1)).alias("_gram")).agg(
             F.sum("allow").alias("allow"), F.sum("block").alias("block"))
-        context = seen.groupBy(F.floor(F.col("gram") / SYMBOLS).alias("_h")).agg(
+        context = seen.groupBy(F.left("_gram", F.lit(order)).alias("_context")).agg(
             *[F.sum(c).alias(f"_n_{c}") for c in ("allow", "block")],
             *[F.count_if(F.col(c) > 0).alias(f"_t_{c}") for c in ("allow", "block")])
-        cells = spark.range(SYMBOLS ** (order + 1)).select(
-            F.col("id").alias("gram"), F.floor(F.col("id") / SYMBOLS).alias("_h"), (F.col("id") % SYMBOLS**order).alias("_low"))
-        both = cells.join(seen, "gram", "left").join(context, "_h", "left")
+        cells = asked.select(F.right("gram", F.lit(order + 1)).alias("gram")).distinct()
+        both = cells.join(seen, F.col("gram") == F.col("_gram"), "left").join(
+            context, F.left("gram", F.lit(order)) == F.col("_context"), "left")
         if lower is not None:
-            both = both.join(lower.withColumnRenamed("gram", "_low"), "_low", "left")
+            both = both.join(lower.withColumnRenamed("gram", "_low"), F.right("gram", F.lit(order)) == F.col("_low"), "left")
 
         def mixed(c: str) -> Column:
-            below = F.col(f"p_{c}") if lower is not None else F.lit(1.0 / SYMBOLS)
+            below = F.col(f"p_{c}") if lower is not None else letters
             n, t = F.coalesce(f"_n_{c}", F.lit(0)), F.coalesce(f"_t_{c}", F.lit(0))
             return F.when(n > 0, (F.coalesce(c, F.lit(0)) + t * below) / (n + t)).otherwise(below)
 
-        # The suffix of a gram is its gram one order lower: gram % 32**order.
-        lower = both.select("gram", mixed("allow").alias("_a"), mixed("block").alias("_b")).select(
-            "gram", F.col("_a").alias("p_allow"), F.col("_b").alias("p_block"))
-    return lower.select("gram", (F.log("p_allow") - F.log("p_block")).alias("ratio"))
-
-
-def scored(df: DataFrame, table: Column, keep: list[str]) -> DataFrame:
-    """Mean log ratio per row; every row of ``df`` has at least the kept columns."""
-    one = with_grams(df.select(*keep, "url")).withColumn("_row", F.monotonically_increasing_id())
-    each = one.select("_row", *keep, F.explode_outer("_grams").alias("_gram"))
-    # All grams of a row are in one task, so the partial sums are already whole.
-    return each.groupBy("_row", *keep).agg(
-        F.coalesce(F.avg(F.element_at(table, (F.col("_gram") + 1).cast("int"))), F.lit(0.0)).alias("score")).drop("_row")
+        lower = materialize(
+            both.select("gram", mixed("allow").alias("_a"), mixed("block").alias("_b"))
+            .select("gram", F.col("_a").alias("p_allow"), F.col("_b").alias("p_block")), f"url-order-{order}")
+    # An order's grams have order + 1 characters, so the last ones are whole.
+    units = F.round((F.log("p_allow") - F.log("p_block")) * 2.0**SCORE_BITS).cast("bigint")
+    return lower.select("gram", units.alias("units"))
+
+
+def scored(urls: DataFrame, counts: DataFrame) -> DataFrame:
+    """(row, score) of ``urls`` (row, url) that have characters to score."""
+    each = materialize(urls.select("row", F.explode(grams_of(F.col("url"))).alias("gram")), "url-places")
+    asked = materialize(each.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "url-asked")
+    total = asked.agg(F.sum("n")).select(F.col("sum(n)")).scalar()
+    ratios = materialize(
+        log_ratios(counts, asked).join(asked.withColumnRenamed("gram", "_gram"), F.col("gram") == F.col("_gram"))
+        .select(F.col("gram").alias("_gram"), "units", (F.col("n") * HOT > total).alias("hot")), "url-ratios")
+    same = F.col("gram") == F.col("_gram")
+    often = each.join(F.broadcast(ratios.where("hot").select("_gram", "units")), same, "left")
+    seldom = often.where("_gram is null").select("row", "gram").join(ratios.where("not hot").select("_gram", "units"), same)
+    known = often.where("_gram is not null").select("row", "units").unionByName(seldom.select("row", "units"))
+    return known.groupBy("row").agg((F.sum("units") / F.count("units") / 2.0**SCORE_BITS).alias("score"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -113,37 +127,48 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path")).withColumn(
         "_rule", rule_of(F.col("host"), F.col("path"), rules))
-    taught = parsed.where("_rule is not null").select(
-        "url", F.col("_rule.verdict").alias("verdict"), (hash_key(F.lit(SEED), F.col("url")) % FOLDS).alias("fold"))
+    fold = F.when(F.col("_rule").isNotNull(), hash_key(F.lit(SEED), F.col("url")) % FOLDS)
+    urls = materialize(parsed.select(
+        "page_id", "url", "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("verdict"),
+        fold.alias("fold"), F.monotonically_increasing_id().alias("row")), "urls")
     counts = materialize(
-        with_grams(taught.where("fold <> 0")).select("verdict", F.explode("_grams").alias("gram"))
-        .groupBy("gram").agg(
+        urls.where("fold <> 0").select("verdict", F.explode(grams_of(F.col("url"))).alias("gram")).groupBy("gram").agg(
             F.count_if(F.col("verdict") == "allow").alias("allow"), F.count_if(F.col("verdict") == "block").alias("block")),
         "url-grams")
-    table = materialize(
-        log_ratio_table(counts).agg(F.transform(
-            F.array_sort(F.collect_list(F.struct("gram", "ratio"))), lambda x: x["ratio"]).alias("ratios")),
-        "url-model").select("ratios").scalar()
-    held = scored(taught.where("fold = 0"), table, ["verdict"]).groupBy("verdict").agg(
-        F.avg("score").alias("m"), F.stddev_pop("score").alias("s"))
+    asked = urls.where("fold = 0 or fold is null").select("row", "url")
+    scores = materialize(scored(asked, counts), "url-scores").withColumnRenamed("row", "_row")
+    with_score = urls.join(scores, F.col("row") == F.col("_row"), "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    held = with_score.where("fold = 0").groupBy("verdict").agg(F.avg("score").alias("m"), F.stddev_pop("score").alias("s"))
     a, b = (F.max(F.when(F.col("verdict") == v, F.struct("m", "s"))) for v in ("allow", "block"))
     spread = a["s"] + b["s"]
     cut = F.when(spread > 0, (a["m"] * b["s"] + b["m"] * a["s"]) / spread).otherwise((a["m"] + b["m"]) / 2)
     # The cut is one row; written, it is computed once.
     cut = materialize(held.agg(F.coalesce(cut, F.lit(0.0)).alias("cut")), "url-cut").select("cut").scalar()
-    known = parsed.where("_rule is not null").select(
-        "page_id", "host", "path", F.col("_rule.rule").alias("rule"), F.col("_rule.verdict").alias("verdict"),
-        F.lit(None).cast("double").alias("score"))
-    open_ = scored(parsed.where("_rule is null"), table, ["page_id", "host", "path"]).select(
-        "page_id", "host", "path", F.lit(None).cast("string").alias("rule"),
-        F.when(F.col("score") >= cut, "allow").otherwise("block").alias("verdict"), "score")
-    return known.unionByName(open_)
+    opened = F.col("verdict").isNull()
+    return with_score.select(
+        "page_id", "host", "path", "rule",
+        F.when(opened, F.when(F.col("score") >= cut, "allow").otherwise("block")).otherwise(F.col("verdict")).alias("verdict"),
+        F.when(opened, F.col("score")).alias("score"))
 
 
 def op3_url_filter(spark, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "pages")).drop("score")
 
 
+def _order_sql(k: int) -> str:
+    """The mixture of one order with the order below, for the grams that are asked for."""
+    low = "l.p" if k else "(SELECT p FROM letters)"
+    below = f"LEFT JOIN p{k - 1} l ON l.verdict = c.verdict AND l.g = right(a.g, {k})" if k else ""
+    return f"""
+n{k} AS (SELECT verdict, right(gram, {k + 1}) AS g, sum(n) AS n FROM counted GROUP BY ALL),
+h{k} AS (SELECT verdict, left(g, {k}) AS h, sum(n) AS n, count(*) AS t FROM n{k} GROUP BY ALL),
+a{k} AS (SELECT DISTINCT right(gram, {k + 1}) AS g FROM asked),
+p{k} AS (
+  SELECT a.g, c.verdict, CASE WHEN h.n > 0 THEN (coalesce(n.n, 0) + h.t * {low}) / (h.n + h.t) ELSE {low} END AS p
+  FROM a{k} a CROSS JOIN classes c LEFT JOIN h{k} h ON h.verdict = c.verdict AND h.h = left(a.g, {k})
+  LEFT JOIN n{k} n ON n.verdict = c.verdict AND n.g = a.g {below}),"""
+
+
 OP3_SQL = r"""
 WITH parsed AS (
   SELECT page_id, url, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
@@ -155,41 +180,17 @@ ruled AS (
          (SELECT arg_max({'rule': rule, 'verdict': verdict}, length(rule)) FROM split_rules
           WHERE ends_with('.' || p.host, '.' || own) AND starts_with(p.path, rest)) AS r FROM parsed p),
 marked AS (
-  SELECT *, ('0x' || substr(md5('3:' || url), 1, 15))::BIGINT % 5 AS fold,
-         regexp_replace(translate(lower(coalesce(regexp_extract(url, '://(.*)', 1, 's'), '')), '0123456789/.-{|}~',
-                        '{{{{{{{{{{|}~' || repeat(chr(127), 4)), '[^a-z{|}~\x7f]', chr(127), 'g') AS m FROM ruled),
-codes AS (SELECT *, list_transform(string_split(m, ''), lambda c: ascii(c) - 96) AS c FROM marked WHERE m <> ''),
-chars AS (
-  SELECT id, r.verdict AS verdict, fold, unnest(range(1, len(c) + 1)) AS i, c FROM codes),
+  SELECT *, CASE WHEN r IS NOT NULL THEN ('0x' || substr(md5('3:' || url), 1, 15))::BIGINT % 5 END AS fold,
+         coalesce(regexp_extract(url, '://(.*)', 1, 's'), '') AS tail FROM ruled),
 grams AS (
-  SELECT id, verdict, fold,
-         ((CASE WHEN i > 3 THEN c[i - 3] ELSE 0 END * 32 + CASE WHEN i > 2 THEN c[i - 2] ELSE 0 END) * 32
-          + CASE WHEN i > 1 THEN c[i - 1] ELSE 0 END) * 32 + c[i] AS gram FROM chars),
+  SELECT id, r.verdict AS verdict, fold, substr(repeat(chr(2), 5) || tail, unnest(range(1, length(tail) + 1)), 6) AS gram FROM marked),
 counted AS (SELECT verdict, gram, count(*) AS n FROM grams WHERE fold <> 0 AND verdict IS NOT NULL GROUP BY ALL),
 classes(verdict) AS (VALUES ('allow'), ('block')),
--- one block per order: counts, contexts, then the mixture with the order below, on the grams that are asked for
-asked AS (SELECT DISTINCT gram FROM grams),
-n0 AS (SELECT verdict, gram % 32 AS g, sum(n) AS n FROM counted GROUP BY ALL),
-n1 AS (SELECT verdict, gram % 1024 AS g, sum(n) AS n FROM counted GROUP BY ALL),
-n2 AS (SELECT verdict, gram % 32768 AS g, sum(n) AS n FROM counted GROUP BY ALL),
-h0 AS (SELECT verdict, sum(n) AS n, count(*) AS t FROM n0 GROUP BY ALL),
-h1 AS (SELECT verdict, g // 32 AS h, sum(n) AS n, count(*) AS t FROM n1 GROUP BY ALL),
-h2 AS (SELECT verdict, g // 32 AS h, sum(n) AS n, count(*) AS t FROM n2 GROUP BY ALL),
-h3 AS (SELECT verdict, gram // 32 AS h, sum(n) AS n, count(*) AS t FROM counted GROUP BY ALL),
-p0 AS (
-  SELECT a.gram, c.verdict, CASE WHEN h.n > 0 THEN (coalesce(n.n, 0) + h.t * (1.0::DOUBLE / 32)) / (h.n + h.t) ELSE 1.0::DOUBLE / 32 END AS p
-  FROM asked a CROSS JOIN classes c LEFT JOIN h0 h ON h.verdict = c.verdict LEFT JOIN n0 n ON n.verdict = c.verdict AND n.g = a.gram % 32),
-p1 AS (
-  SELECT a.gram, a.verdict, CASE WHEN h.n > 0 THEN (coalesce(n.n, 0) + h.t * a.p) / (h.n + h.t) ELSE a.p END AS p FROM p0 a
-  LEFT JOIN h1 h ON h.verdict = a.verdict AND h.h = (a.gram % 1024) // 32 LEFT JOIN n1 n ON n.verdict = a.verdict AND n.g = a.gram % 1024),
-p2 AS (
-  SELECT a.gram, a.verdict, CASE WHEN h.n > 0 THEN (coalesce(n.n, 0) + h.t * a.p) / (h.n + h.t) ELSE a.p END AS p FROM p1 a
-  LEFT JOIN h2 h ON h.verdict = a.verdict AND h.h = (a.gram % 32768) // 32 LEFT JOIN n2 n ON n.verdict = a.verdict AND n.g = a.gram % 32768),
-p3 AS (
-  SELECT a.gram, a.verdict, CASE WHEN h.n > 0 THEN (coalesce(n.n, 0) + h.t * a.p) / (h.n + h.t) ELSE a.p END AS p FROM p2 a
-  LEFT JOIN h3 h ON h.verdict = a.verdict AND h.h = a.gram // 32 LEFT JOIN counted n ON n.verdict = a.verdict AND n.gram = a.gram),
-ratios AS (SELECT gram, sum(CASE verdict WHEN 'allow' THEN ln(p) ELSE -ln(p) END) AS ratio FROM p3 GROUP BY gram),
-scores AS (SELECT id, avg(ratio) AS score FROM grams JOIN ratios USING (gram) GROUP BY id),
+letters AS (SELECT 1::DOUBLE / (count(DISTINCT right(gram, 1)) + 1) AS p FROM counted),
+asked AS (SELECT DISTINCT gram FROM grams WHERE fold IS NULL OR fold = 0),
+""" + "".join(_order_sql(k) for k in range(ORDER + 1)) + r"""
+ratios AS (SELECT g AS gram, round(sum(CASE verdict WHEN 'allow' THEN ln(p) ELSE -ln(p) END) * power(2, 40))::BIGINT AS units FROM p5 GROUP BY g),
+scores AS (SELECT id, sum(units)::DOUBLE / count(*) / power(2, 40) AS score FROM grams JOIN ratios USING (gram) GROUP BY id),
 judged AS (SELECT u.*, coalesce(s.score, 0) AS score FROM marked u LEFT JOIN scores s USING (id)),
 held AS (
   SELECT avg(score) FILTER (r.verdict = 'allow') AS ma, stddev_pop(score) FILTER (r.verdict = 'allow') AS sa,
