@@ -6,13 +6,19 @@ visits the nodes of a tree in the order of their upper bound, query . centre +
 |query| * radius, and stops where that falls below its current kth score.
 
 The kth score is shared: a query first searches one shard of its most promising
-cell; with the score it found there it visits only shards of cells whose own
-bound reaches it, and starts pruning with it at once.  Cells are at most
-``MAX_CELLS``, so their bounds are a table of fixed size.
-
-Defined results: as ``dim_scan``, but zero vectors take part; rows that repeat a
-vec_id are candidates each, but one query; scores are exact (beyond 2**53 they
-are added up as Python integers).
+cell, then the shards of the few cells with the largest bounds, then those of the
+rest.  Each round starts with the kth score of the rounds before: only shards of
+cells whose own bound reaches it are visited, and pruning starts with it at once.
+The bounds of all cells, at most ``MAX_CELLS``, are a table of fixed size.
+
+Defined results: vectors take part that are not NULL or empty and have a vec_id and
+components that are finite, also 256 times as large; zero vectors take part; vectors of
+different lengths never meet, each length is searched by itself; rows that repeat a
+vec_id are candidates each, but one query (the smallest vector), and never answer
+their own id; ties go to the smaller vec_id; scores are exact (beyond 2**53 they are
+added up as Python integers), and one beyond the range of long counts and ranks as the
+nearest long; a table with fewer candidates than k returns all of them; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,13 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, read
-from .vectors import best, block_of, by_unit, cell_stats, fit_cells, in_cells, rows_of, usable
+from .vectors import (
+    DEAL_QUERIES, best, block_of, by_length, by_unit, cell_stats, dealt, fit_cells, in_cells, queries_of, rows_of, unit_rows, usable,
+    with_blocks)
 
 K, EVERY, SCALE = 5, 50, 256
 ROWS_PER_CELL, SHARD_ROWS, LEAF_ROWS = 1024, 2048, 64
 #: Relative rounding that a bound may have.
 SLACK = 1e-9
 EXACT = float(2**53)
+LONGEST = 2**63 - 1
 
 
 class BallTree:
@@ -89,7 +98,9 @@ class BallTree:
                 found = zip(scores[near].astype(np.int64).tolist(), self.ids[own[near]].tolist())
             else:
                 whole = [int(v) for v in q]
-                found = [(sum(int(a) * b for a, b in zip(row, whole)), i) for row, i in zip(self.x[own], self.ids[own].tolist())]
+                found = [
+                    (min(LONGEST, max(-LONGEST - 1, sum(int(a) * b for a, b in zip(row, whole)))), i)
+                    for row, i in zip(self.x[own], self.ids[own].tolist())]
             for score, i in found:
                 if i != query_id and score >= floor:
                     if len(top) < k:
@@ -100,18 +111,26 @@ class BallTree:
 
 
 def whole_numbers(vectors: DataFrame) -> DataFrame:
-    return vectors.select("vec_id", F.transform("v", lambda x: F.floor(x.cast("double") * SCALE).cast("double")).alias("v"))
+    """floor(256 * x) as doubles; vectors for which that is not finite take no part."""
+
+    def whole(x):
+        y = x.cast("double") * SCALE
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole
+
+    out = vectors.select("vec_id", F.transform("v", whole).alias("v"))
+    return out.where(F.forall("v", lambda y: F.abs(y) != float("inf")))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """query_id, rank, vec_id, score for whole-number ``vectors`` (vec_id, v) and ``queries``."""
+    """query_id, rank, vec_id, score for whole-number ``vectors`` (vec_id, v) of one length and ``queries``."""
     n = vectors.count()
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     centres, _ = fit_cells(vectors, n, per_cell)
     placed = in_cells(vectors, centres)
     stats = cell_stats(placed)
-    blocks = {c: math.ceil(s[0] / SHARD_ROWS) for c, s in stats.items()}
+    unit = unit_rows(n, centres.shape[1], SHARD_ROWS)
+    blocks = {c: math.ceil(s[0] / unit) for c, s in stats.items()}
     cells = np.array(sorted(stats))
     radii = np.array([stats[c][1] for c in cells])
     members = materialize(placed.select(
@@ -119,31 +138,28 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, per_cell: int = R
         "shards")
     layout = "vec_id bigint, v array<double>, cell int, block int, floor double"
 
-    def visits(batches, home: bool):
-        """Rows (query, shard): the home shard only, or all others that the bound allows."""
-        for batch in batches:
-            ids, q = batch.column("vec_id").to_numpy(), rows_of(batch.column("v"))
-            if not len(q):
-                continue
-            bound = q @ centres[cells].T + np.sqrt((q**2).sum(axis=1))[:, None] * radii
-            own = np.argmax(q @ centres[cells].T, axis=1)
-            row, cell, block, floors = [], [], [], []
-            limits = [-math.inf] * len(q) if home else batch.column("floor").to_pylist()
-            for i, (c0, floor) in enumerate(zip(own.tolist(), limits)):
-                first = (int(cells[c0]), int(ids[i] // EVERY) % blocks[int(cells[c0])])
-                if home:
-                    shards = [first]
-                else:
-                    open_ = bound[i] + np.abs(bound[i]) * SLACK + SLACK >= floor
-                    shards = [(c, b) for c in cells[open_].tolist() for b in range(blocks[c]) if (c, b) != first]
-                row += [i] * len(shards)
-                cell += [c for c, _ in shards]
-                block += [b for _, b in shards]
-                floors += [floor] * len(shards)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id").take(take), batch.column("v").take(take), pa.array(cell, pa.int32()), pa.array(block, pa.int32()),
-                 pa.array(floors, pa.float64())], names=["vec_id", "v", "cell", "block", "floor"])
+    many = np.array([blocks[c] for c in cells])
+
+    def visits(batches, since: int, until: int):
+        """Rows (query, shard) of cells by falling bound, from ``since`` to ``until``; with until 0 the home shard only."""
+        for whole in batches:
+            for i in range(0, whole.num_rows, DEAL_QUERIES):
+                batch = whole.slice(i, DEAL_QUERIES)
+                ids, q = batch.column("vec_id").to_numpy(), rows_of(batch.column("v"))
+                mean = q @ centres[cells].T
+                bound = mean + np.sqrt((q**2).sum(axis=1))[:, None] * radii
+                home = np.argmax(mean, axis=1)
+                home_block = (ids // EVERY) % many[home]
+                if not until:
+                    yield from dealt(batch, np.arange(len(q)), cells[home], home_block)
+                    continue
+                order = np.argsort(-bound, axis=1, kind="stable")[:, since:until]
+                row, own = np.repeat(np.arange(len(q)), order.shape[1]), order.ravel()
+                most = bound[row, own]
+                reached = most + np.abs(most) * SLACK + SLACK >= batch.column("floor").to_numpy()[row]
+                row, cell, block = with_blocks(row[reached], cells[own[reached]], many[own[reached]])
+                new = (cell != cells[home][row]) | (block != home_block[row])
+                yield from dealt(batch, row[new], cell[new], block[new])
 
     def build(table):
         return BallTree(table.column("vec_id").to_numpy(), rows_of(table.column("v")))
@@ -160,23 +176,27 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, per_cell: int = R
         dealt = rows.repartition(min(MAX_PARTS, max(1, sum(blocks.values()))), "cell", "block").sortWithinPartitions("cell", "block", "kind")
         return dealt.mapInArrow(lambda b: by_unit(b, build, answer), "query_id bigint, vec_id bigint, score bigint")
 
-    home = queries.select("vec_id", "v").mapInArrow(lambda b: visits(b, True), layout)
-    first = materialize(searched(home), "home")
-    floors = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("least"))
-    known = queries.join(floors, F.col("vec_id") == F.col("query_id"), "left").select(
-        "vec_id", "v", F.when(F.col("m") >= k, F.col("least").cast("double")).otherwise(float("-inf")).alias("floor"))
-    others = searched(known.mapInArrow(lambda b: visits(b, False), layout))
-    return best(first.unionByName(others), k)
+    floors, found, since = queries.select("vec_id", "v", F.lit(float("-inf")).alias("floor")), None, 0
+    for until in (0, *(t for t in FIRST_ROUNDS if t < len(cells)), len(cells)):
+        more = searched(floors.mapInArrow(lambda b, since=since, until=until: visits(b, since, until), layout))
+        found = materialize(best(more if found is None else found.drop("rank").unionByName(more), k), "found")
+        least = found.where(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").cast("double").alias("_least"))
+        # As a double the score may have been rounded up.
+        floors = queries.join(least, F.col("vec_id") == F.col("_q"), "left").select(
+            "vec_id", "v", F.coalesce(F.col("_least") - F.abs("_least") * 2.0**-52, F.lit(float("-inf"))).alias("floor"))
+        since = until
+    return found
 
 
+#: Cells by falling bound that a query may have visited after the first rounds; the last round visits the rest.
+FIRST_ROUNDS = (8,)
 #: Tasks of a search at most; a task searches several shards one after the other.
 MAX_PARTS = 20000
 
 
 def op9_ball_tree(spark, sf_dir: str) -> DataFrame:
     vectors = materialize(whole_numbers(usable(read(spark, sf_dir, "embeddings"), zero=True)), "vectors")
-    queries = vectors.where(F.col("vec_id") % EVERY == 0).dropDuplicates(["vec_id"])
-    return search(vectors, queries)
+    return by_length(vectors, materialize(queries_of(vectors, EVERY), "queries"), search)
 
 
 OP9_SQL = """
@@ -184,12 +204,10 @@ WITH fine AS (
   SELECT vec_id, embedding FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
-common AS (SELECT len(embedding) AS n FROM fine GROUP BY ALL ORDER BY count(*) DESC, n LIMIT 1),
-whole AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM fine WHERE len(embedding) = (SELECT n FROM common)),
+whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM fine),
 pairs AS (
   SELECT q.vec_id AS query_id, w.vec_id, list_dot_product(q.v, w.v)::BIGINT AS score
-  FROM (SELECT DISTINCT ON (vec_id) * FROM whole WHERE vec_id % 50 = 0) q JOIN whole w ON q.vec_id <> w.vec_id),
+  FROM (SELECT vec_id, min(v) AS v FROM whole WHERE vec_id % 50 = 0 GROUP BY vec_id) q JOIN whole w ON q.vec_id <> w.vec_id AND len(q.v) = len(w.v)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

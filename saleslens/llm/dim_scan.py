@@ -12,16 +12,22 @@ end are scored exactly on the original vectors.
 Largest inner product becomes smallest distance by one more dimension that fills
 every vector up to the largest norm.
 
-Cells are probed in rounds of growing size, best first.  The kth score found so
-far goes with the query into the next round: it is the first limit of the tests,
-and no candidate below it leaves a task.
-
-A crowded cell is cut into blocks of about ``UNIT_ROWS`` rows; each is scanned by
-itself and gives at most k rows per query.  Queries are answered as they stream by.
-
-Defined results: see ``op8`` in the README for the vectors that take part; rows
-that repeat a vec_id are candidates each, but one query, and never answer their
-own id; a table with fewer candidates than k returns all of them; an empty table
+Cells are probed in three rounds, best first: one, a few, the rest.  The kth score
+found so far goes with the query into the next round: it is the first limit of the
+tests, and no candidate below it leaves a task.
+
+Cells grow in number with the root of the rows.  A crowded cell is cut into blocks of
+``UNIT_ROWS`` rows, more in large tables; each is scanned by itself and gives at most k
+rows per query.  Queries are answered as they stream by.  Where vectors have no structure,
+so that a fixed share of all cells must be probed, the work grows with queries times
+rows, and only the abandoned dimensions are saved.
+
+Defined results: vectors take part that are not NULL, empty or zero and have a
+vec_id and finite components only; vectors of different lengths never meet, each
+length is searched by itself; rows that repeat a vec_id are candidates each, but one
+query (the smallest vector), and never answer their own id; ties go to the smaller
+vec_id; very large components may overflow to an infinite score, which then ranks
+first; a table with fewer candidates than k returns all of them; an empty table
 gives no rows; other columns are ignored.
 """
 
@@ -35,7 +41,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, read
-from .vectors import best, block_of, by_unit, cell_stats, fit_cells, in_cells, nearest, rows_of, usable
+from .vectors import (
+    DEAL_QUERIES, best, block_of, by_length, by_unit, cell_stats, dealt, fit_cells, in_cells, nearest, queries_of, rows_of, unit_rows, usable,
+    with_blocks)
 
 K, EVERY = 20, 20
 ROWS_PER_CELL, UNIT_ROWS, RECALL, ASKED = 512, 1024, 0.95, 512
@@ -116,14 +124,15 @@ def probes_for(recall: float, k: int, sample: np.ndarray, own: np.ndarray, promi
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL, per_cell: int = ROWS_PER_CELL) -> DataFrame:
-    """query_id, rank, vec_id, score for usable ``vectors`` (vec_id, v) and the (vec_id, v) of ``queries``."""
+    """query_id, rank, vec_id, score for usable ``vectors`` (vec_id, v) of one length and the (vec_id, v) of ``queries``."""
     n = vectors.count()
     if not n:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     centres, sample = fit_cells(vectors, n, per_cell)
     placed = in_cells(vectors, centres)
     stats = cell_stats(placed)
-    blocks = {c: math.ceil(s[0] / UNIT_ROWS) for c, s in stats.items()}
+    unit = unit_rows(n, centres.shape[1], UNIT_ROWS)
+    blocks = {c: math.ceil(s[0] / unit) for c, s in stats.items()}
     largest = max(s[3] for s in stats.values())
     cells = np.array(sorted(stats))
     sizes = np.array([stats[c][0] for c in cells])
@@ -137,24 +146,19 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = R
 
     probes = probes_for(recall, k, sample, np.searchsorted(cells, nearest(sample, centres)), promise)
 
+    many = np.array([blocks[c] for c in cells])
+
     def probe(batches, since: int, until: int):
-        for batch in batches:
-            q = rows_of(batch.column(1))
-            if not len(q):
-                continue
-            order = promise(q)
-            # More cells where the usual number holds fewer candidates than are asked for.
-            enough = np.maximum(probes, (np.cumsum(sizes[order], axis=1) < k + 1).sum(axis=1) + 1)
-            row, cell, block = [], [], []
-            for i, own in enumerate(order):
-                for c in cells[own[since:min(until, int(enough[i]))]].tolist():
-                    row += [i] * blocks[c]
-                    cell += [c] * blocks[c]
-                    block += range(blocks[c])
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(cell, pa.int32()), pa.array(block, pa.int32()),
-                 batch.column(2).take(take)], names=["vec_id", "v", "cell", "block", "floor"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, DEAL_QUERIES):
+                batch = whole.slice(i, DEAL_QUERIES)
+                order = promise(rows_of(batch.column(1)))
+                # More cells where the usual number holds fewer candidates than are asked for.
+                enough = np.maximum(probes, (np.cumsum(sizes[order], axis=1) < k + 1).sum(axis=1) + 1)
+                place = np.arange(order.shape[1])
+                row, at = np.nonzero((place >= since) & (place < np.minimum(until, enough)[:, None]))
+                own = order[row, at]
+                yield from dealt(batch, *with_blocks(row, cells[own], many[own]))
 
     members = materialize(placed.select(
         "vec_id", "v", "cell", block_of(F.col("vec_id"), blocks).alias("block"), F.lit(0).alias("kind"), F.lit(None).cast("double").alias("floor")),
@@ -173,34 +177,30 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, recall: float = R
 
     parts = min(max(1, sum(blocks.values())), MAX_PARTS)
     found, since = None, 0
-    while since < len(cells):
+    for until in (*(t for t in FIRST_ROUNDS if t < len(cells)), len(cells)):
         floors = queries.select("vec_id", "v", F.lit(float("-inf")).alias("floor"))
         if found is not None:
             # The kth score of queries that have k candidates already.
             least = found.where(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("_least"))
             floors = queries.select("vec_id", "v").join(least, F.col("vec_id") == F.col("_q"), "left").select(
                 "vec_id", "v", F.coalesce("_least", F.lit(float("-inf"))).alias("floor"))
-        until = since + max(1, since * GROWTH)
         asked = floors.mapInArrow(
             lambda b, since=since, until=until: probe(b, since, until), f"vec_id bigint, v {kind}, cell int, block int, floor double")
         rows = members.unionByName(asked.withColumn("kind", F.lit(1)))
-        dealt = rows.repartition(parts, "cell", "block").sortWithinPartitions("cell", "block", "kind")
-        more = dealt.mapInArrow(lambda b: by_unit(b, build, answer), "query_id bigint, vec_id bigint, score double")
+        sorted_ = rows.repartition(parts, "cell", "block").sortWithinPartitions("cell", "block", "kind")
+        more = sorted_.mapInArrow(lambda b: by_unit(b, build, answer), "query_id bigint, vec_id bigint, score double")
         merged = more if found is None else found.drop("rank").unionByName(more)
         found = materialize(best(merged, k), "nearest")
         since = until
-        if since >= probes and (sizes.min() * since > k or since >= len(cells)):
-            break
     return found
 
 
-#: Each round probes so many times the cells of all rounds before it.
-GROWTH = 3
+#: Cells that a query has probed after the first rounds; the last round probes the rest.
+FIRST_ROUNDS = (1, 8)
 #: Tasks of the scan at most; a task scans several units one after the other.
 MAX_PARTS = 20000
 
 
 def op8_dim_scan(spark, sf_dir: str) -> DataFrame:
     vectors = materialize(usable(read(spark, sf_dir, "embeddings"), zero=False), "vectors")
-    queries = vectors.where(F.col("vec_id") % EVERY == 0).dropDuplicates(["vec_id"])
-    return search(vectors, queries)
+    return by_length(vectors, materialize(queries_of(vectors, EVERY), "queries"), search)

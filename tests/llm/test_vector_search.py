@@ -20,29 +20,36 @@ def odd_rows():
     rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
     rows += [(i, rows[40][1]) for i in range(300, 380)]  # one common vector
     rows += [(400, [1e3] * 8), (401, [0.0] * 8), (402, None), (403, [None] + [1.0] * 7), (404, [math.nan] * 8), (405, [INF] * 8),
-             (406, [1.0] * 7), (407, []), (None, [1.0] * 8), (20, rows[20][1]), (-40, rows[3][1])]
+             (407, []), (None, [1.0] * 8), (20, rows[20][1]), (-40, rows[3][1])]
+    rows += [(i, rng.normal(size=5).astype(np.float32).tolist()) for i in range(500, 640)] + [(700, [2.0]), (60, [1.0, 1.0])]  # other lengths
     random.Random(1).shuffle(rows)
     return rows
 
 
 def brute(rows, k, every, number, zero):
-    fine = [(i, [number(x) for x in v]) for i, v in rows if i is not None and v and len(v) == 8
+    fine = [(i, [number(x) for x in v]) for i, v in rows if i is not None and v
             and all(x is not None and math.isfinite(x) for x in v) and (zero or any(v))]
+    queries = {}
+    for i, v in fine:
+        if i % every == 0:
+            queries[i] = min(queries.get(i, v), v)
     out = []
-    for q, v in {i: v for i, v in fine if i % every == 0}.items():
-        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in fine if i != q)
+    for q, v in queries.items():
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in fine if i != q and len(w) == len(v))
         out += [(q, r, i, -s) for r, (s, i) in enumerate(scored[:k], 1)]
     return sorted(out)
 
 
 def run_op8(spark, rows, **more):
     own = vectors.usable(table(spark, rows), zero=False).cache()
-    return sorted(tuple(r) for r in dim_scan.search(own, own.where("vec_id % 20 = 0").dropDuplicates(["vec_id"]), **more).collect())
+    out = vectors.by_length(own, vectors.queries_of(own, 20), lambda v, q: dim_scan.search(v, q, **more))
+    return sorted(tuple(r) for r in out.collect())
 
 
 def run_op9(spark, rows, **more):
     own = ball_tree.whole_numbers(vectors.usable(table(spark, rows), zero=True)).cache()
-    return sorted(tuple(r) for r in ball_tree.search(own, own.where("vec_id % 50 = 0").dropDuplicates(["vec_id"]), **more).collect())
+    out = vectors.by_length(own, vectors.queries_of(own, 50), lambda v, q: ball_tree.search(v, q, **more))
+    return sorted(tuple(r) for r in out.collect())
 
 
 def test_exact_search_is_exact(spark, monkeypatch):
@@ -59,6 +66,35 @@ def test_exact_beyond_doubles(spark):
     assert run_op9(spark, rows) == brute(rows, 5, 50, lambda x: math.floor(256 * float(np.float32(x))), True)
 
 
+def test_scores_beyond_long_count_as_the_nearest_long(spark):
+    rows = [(i, [1e18 * (1 + i % 3), float(i)]) for i in range(20)] + [(50, [3e38, 0.0]), (51, [-3e38, 0.0]), (52, [1.0, 2.0])]
+    got = run_op9(spark, rows)
+    exact = brute(rows, 40, 50, lambda x: math.floor(256 * float(np.float32(x))), True)
+    clipped = sorted((q, -max(-2**63, min(2**63 - 1, s)), i) for q, _, i, s in exact)
+    want = [(q, r, i, -s) for q0 in (0, 50) for r, (q, s, i) in enumerate([c for c in clipped if c[0] == q0][:5], 1)]
+    assert got == want and got[0][3] == 2**63 - 1
+
+
+def test_many_queries_in_one_batch(spark, monkeypatch):
+    """Queries are dealt in parts: no batch of rows for units is larger than its bound."""
+    import pyarrow as pa
+    n, d = 10_000, 64
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n), pa.int64()), pa.array(list(np.ones((n, d), np.float32)), pa.list_(pa.float32())), pa.array(np.zeros(n))], names=["vec_id", "v", "floor"])
+    row, cell = np.repeat(np.arange(n), 20), np.tile(np.arange(20), n)
+    parts = list(vectors.dealt(batch, *vectors.with_blocks(row, cell, np.full(len(row), 2))))
+    assert max(p.nbytes for p in parts) < 2 * vectors.DEAL_BYTES and sum(p.num_rows for p in parts) == n * 40
+    (first,) = vectors.dealt(batch, *vectors.with_blocks(np.array([3, 5]), np.array([7, 9]), np.array([2, 3])))
+    assert list(zip(first.column("vec_id").to_pylist(), first.column("cell").to_pylist(), first.column("block").to_pylist())) == [
+        (3, 7, 0), (3, 7, 1), (5, 9, 0), (5, 9, 1), (5, 9, 2)]
+
+
+def test_units_grow_with_the_table():
+    assert vectors.unit_rows(10_000, 64, 1024) == 1024
+    assert vectors.unit_rows(10**8, 64, 1024) == math.ceil(10**8 / vectors.UNITS)
+    assert vectors.unit_rows(10**12, 64, 1024) * 64 * 8 <= vectors.UNIT_BYTES
+
+
 @pytest.mark.parametrize("per_cell", [40, 10_000])
 def test_approximate_search(spark, monkeypatch, per_cell):
     monkeypatch.setattr(dim_scan, "UNIT_ROWS", 60)
@@ -72,7 +108,8 @@ def test_approximate_search(spark, monkeypatch, per_cell):
     assert all(abs(score[q, i] - s) < 1e-9 * max(1, abs(s)) for q, _, i, s in got)
     for q in {q for q, *_ in got}:
         own = [(r, -s, i) for p, r, i, s in got if p == q]
-        assert sorted(own) == sorted(own, key=lambda x: x[1:]) and [r for r, *_ in sorted(own)] == list(range(1, 21))
+        length = len([w for w in want if w[0] == q])
+        assert sorted(own) == sorted(own, key=lambda x: x[1:]) and [r for r, *_ in sorted(own)] == list(range(1, length + 1))
 
 
 def test_few_rows(spark):
