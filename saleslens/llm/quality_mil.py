@@ -6,13 +6,17 @@ length of words) by a learned layer; gated attention weights, learned from the
 labels of documents alone, add the encodings up, and a logistic unit scores the sum.
 
 The model is fitted on at most ``SAMPLE_DOCS`` labelled documents (the smallest
-hashes of their ids), with all passages of each: that bound is a parameter and
-does not grow with the input.  Scoring reads whole texts, all passages, in one pass without a shuffle; the model is a few kilobytes.
+hashes of their ids), with all passages of each, until these make up
+``SAMPLE_PASSAGES``; a document that alone has more than an eighth of that is not used for
+the fit.  Both bounds are parameters and do not grow with the input.  Scoring reads
+whole texts, all passages, in one pass without a shuffle; the model is a few kilobytes.
 
 Defined results: NULL and empty texts are a bag of one empty passage; documents
-without a label are only scored; labels that are NULL are not used; repeated
-labels count each; with labels of one class, or none, every score is the smoothed
-share of label 1 (0.5 without any); other columns of the tables are ignored.
+without a label are only scored; where rows repeat a labelled id the smallest text
+(NULL first) is learned, and every row is scored; labels that are NULL are not used;
+repeated labels count each; with labels of one class, or none, every score is the
+smoothed share of label 1 (0.5 without any); a score may tie with another; other
+columns of the tables, whatever their names, are ignored or pass through.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import hash_key, read
+from .common import hash_key, materialize, read
 
 PASSAGE_WORDS = 64
-SAMPLE_DOCS, SEED = 4096, 5
+#: The fit: documents and passages at most (of 308 bytes each).
+SAMPLE_DOCS, SAMPLE_PASSAGES, SEED = 4096, 400_000, 5
 HIDDEN, GATE, EPOCHS, BATCH, RATE = 32, 16, 14, 128, 0.01
 THRESHOLD = 0.7
 CHUNK_BYTES = 4 << 20
@@ -168,12 +174,13 @@ def text_parts(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         at = end
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+def fit_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_passages: int = SAMPLE_PASSAGES) -> Model:
     """A model of ``labels.quality`` from documents that are not held out."""
     usable = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
-    known = usable.select("doc_id", F.col("quality").cast("int").alias("quality"), hash_key(F.lit(SEED), F.col("doc_id")).alias("_key"))
+    known = usable.select("doc_id", F.col("quality").cast("int").alias("quality"), hash_key(F.lit(SEED), F.col("doc_id")).alias("key"))
     # The sample has a fixed bound, so it may be broadcast.
-    sample = known.orderBy("_key", "doc_id").limit(sample_docs).select(F.col("doc_id").alias("_id"), "quality")
+    sample = known.orderBy("key", "doc_id").limit(sample_docs)
+    ids = sample.select(F.col("doc_id").alias("_id"), "key").distinct()
 
     def encode(batches):
         for batch in batches:
@@ -181,20 +188,26 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DO
             for part in text_parts(batch.column(0)):
                 features, bags = passages(part)
                 ends = np.cumsum(bags)
-                rows = [
-                    (batch.column(1)[at + i].as_py(), n, features[end - n:end].tobytes())
-                    for i, (n, end) in enumerate(zip(bags.tolist(), ends.tolist()))]
-                at += len(bags)
+                fits = bags <= sample_passages // 8
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary()))], names=["quality", "n", "x"])
+                    [batch.column(1).slice(at, len(bags)), pa.array(bags, pa.int32()),
+                     pa.array([features[end - n:end].tobytes() if ok else None for n, end, ok in zip(bags.tolist(), ends.tolist(), fits)], pa.binary())],
+                    names=["id", "n", "x"])
+                at += len(bags)
 
-    bags = (
-        docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-        .select("text", "quality").mapInArrow(encode, "quality int, n int, x binary").toArrow())
-    if not len(bags):
+    # Rows that repeat an id meet as one text per task; NULL counts as smaller than any text.
+    texts = (
+        docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+        .groupBy("doc_id").agg(F.min(F.struct("text")).alias("t")).select("t.text", "doc_id"))
+    encoded = materialize(texts.mapInArrow(encode, "id bigint, n int, x binary").where("x is not null"), "bags")
+    bags = encoded.join(F.broadcast(sample), F.col("id") == F.col("doc_id")).select("key", "id", "quality", "n", "x")
+    # At most sample_docs rows, so this window has a fixed bound.
+    upto = F.sum("n").over(W.orderBy("key", "id", "quality").rowsBetween(W.unboundedPreceding, 0))
+    rows = bags.withColumn("upto", upto).where(F.col("upto") <= sample_passages).toArrow()
+    if not len(rows):
         return Model()
     # Rows come in the order of the tasks; sorted, the fit is the same in every run.
-    rows = sorted(zip(*(bags.column(c).to_pylist() for c in ("quality", "n", "x"))))
+    rows = sorted(zip(*(rows.column(c).to_pylist() for c in ("quality", "n", "x"))))
     y = np.array([r[0] for r in rows], np.float32)
     if y.min() == y.max():
         return Model(float((y.sum() + 1) / (len(y) + 2)))
@@ -224,4 +237,5 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     score = scorer(fit_quality(docs, read(spark, sf_dir, "labels")))
-    return docs.withColumn("_score", score("text")).where(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    own = docs.select(F.struct(*docs.columns).alias("own"), score("text").alias("score"))
+    return own.where(F.col("score") >= THRESHOLD).select("own.*")

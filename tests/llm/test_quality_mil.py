@@ -1,7 +1,10 @@
 """The quality classifier: gradients, accuracy on held-out documents, odd inputs."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from saleslens.llm import quality_mil as qm
 
@@ -81,3 +84,79 @@ def test_fit_sees_all_passages(spark, monkeypatch):
     want = qm.passages(pa.array([texts[i] for i in taught]))
     assert want[1].max() > 32 and sorted(seen["bags"]) == sorted(want[1])
     assert sorted(map(bytes, seen["features"])) == sorted(map(bytes, want[0]))
+
+
+def brute_features(text):
+    """One list of features per passage, by plain counting."""
+    def kind(b):
+        c = chr(b)
+        return (3 if b >= 128 else 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if c.isdigit() else 4 if c in ".," else
+                5 if c in "!?" else 6 if c == "|" else 7)
+
+    words = [w for w in (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if w]
+    out = []
+    for i in range(0, max(1, len(words)), qm.PASSAGE_WORDS):
+        own = words[i:i + qm.PASSAGE_WORDS]
+        kinds = [kind(b) for b in "".join(own).encode()]
+        n, w = max(1, len(kinds)), max(1, len(own))
+        pairs = list(zip(kinds[:1] + kinds, kinds))
+        row = [kinds.count(k) / n for k in range(8)] + [pairs.count((a, b)) / n for a in range(8) for b in range(8)]
+        sizes = [len(x.encode()) for x in own]
+        row += [sum(a == b for a, b in zip(own, own[1:])) / w, len(set(own)) / w, sizes.count(1) / w, sum(sizes) / w / 10, len(own) / qm.PASSAGE_WORDS]
+        out.append(row)
+    return out
+
+
+def brute_score(model, text):
+    """Encode, weigh and add up the passages one by one."""
+    p = {k: v.tolist() for k, v in model.p.items()}
+
+    def times(x, m):
+        return [sum(a * row[j] for a, row in zip(x, m)) for j in range(len(m[0]))]
+
+    hidden, weights = [], []
+    for row in brute_features(text):
+        x = [(v - m) / s for v, m, s in zip(row, model.mean.tolist(), model.spread.tolist())]
+        h = [math.tanh(a + b) for a, b in zip(times(x, p["w"]), p["b"])]
+        gate = [math.tanh(a) / (1 + math.exp(-b)) for a, b in zip(times(h, p["v"]), times(h, p["u"]))]
+        hidden.append(h)
+        weights.append(math.exp(sum(a * b for a, b in zip(gate, p["a"]))))
+    z = [sum(w * h[j] for w, h in zip(weights, hidden)) / sum(weights) for j in range(qm.HIDDEN)]
+    return 1 / (1 + math.exp(-(sum(a * b for a, b in zip(z, p["c"])) + p["d"][0])))
+
+
+def test_scores_passage_by_passage(spark):
+    """The registered query against plain Python on every document of a table."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = qm.fit_quality(docs, labels)
+    assert model.p is not None
+    got = {r.doc_id: r.score for r in qm.op2_quality(spark, folder).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        assert got[i] == pytest.approx(brute_score(model, text), abs=2e-4), i
+    odd = ["", None, " \n ", "a", "é|!? " * 100, "word " * 70 + "\tX9\r" * 70]
+    scored = model.score(*qm.passages(pa.array(odd, pa.string())))
+    assert scored.tolist() == pytest.approx([brute_score(model, t) for t in odd], abs=2e-4)
+
+
+def test_the_fit_is_bounded(spark, monkeypatch):
+    """Repeated ids bring one text each, and documents beyond the bound of passages stay away."""
+    seen = {}
+
+    def fit(self, features, bags, labels):
+        seen.update(bags=sorted(bags.tolist()), labels=sorted(labels.tolist()))
+        return self
+
+    monkeypatch.setattr(qm.Model, "fit", fit)
+    ids = list(range(40))
+    docs = spark.createDataFrame([(i, "w " * 64 * (1 + i % 3)) for i in ids for _ in range(5)] + [(0, "v " * 64 * 50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    taught = [r.doc_id for r in labels.where(~qm.held_out(labels.doc_id)).collect()]
+    qm.fit_quality(docs, labels)
+    assert len(seen["bags"]) == len(taught)  # not five times as many
+    qm.fit_quality(docs, labels, sample_passages=30)
+    assert 10 < sum(seen["bags"]) <= 30 and max(seen["bags"]) <= 3
+    qm.fit_quality(docs, labels, sample_docs=4)
+    assert len(seen["bags"]) <= 4
