@@ -14,8 +14,10 @@ committed index rows are ever read; both lie in the shared folder.
 
 Defined results: NULL payload is empty; a NULL page_id comes last among equal
 payloads; of rows that repeat a page_id and payload, exactly one is the response;
-a NULL url is written as an empty target; an empty table writes no bundle; other
-columns are ignored.
+a NULL url is written as an empty target; a payload larger than a frame has a frame of
+its own (a payload is below 2 GB, as any string is, so a frame stays below the
+4 GiB of the seek table); an empty table writes no bundle; other columns, whatever
+their names, are ignored.
 """
 
 from __future__ import annotations
@@ -46,6 +48,8 @@ class BundleWriter:
     """Writes records into frames; ``add`` returns (frame, offset, length)."""
 
     def __init__(self, out, frame_bytes: int = FRAME_BYTES):
+        if frame_bytes >= 1 << 31:
+            raise ValueError("a frame with its last record must stay below 4 GiB")
         self.out, self.limit = out, frame_bytes
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True)
         self.parts, self.size, self.table = [], 0, []
@@ -138,11 +142,11 @@ INDEX = "record_id string, bundle string, frame int, offset bigint, length bigin
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:
-    """``df`` with ``_file`` and ``_row``, which tell rows apart and are the same in every scan.
+    """The pages with ``_file`` and ``_row``, which tell rows apart and are the same in every scan.
 
     For a frame that doesn't come straight from files, write it first.
     """
-    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return df.select("page_id", "url", "html", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def decided(pages: DataFrame, min_payload: int = 0) -> DataFrame:
@@ -213,13 +217,18 @@ def read_bundles(index: DataFrame) -> DataFrame:
     parts = max(1, math.ceil(frames.count() / READ_FRAMES))
 
     def run(batches):
+        # Frames come in order, so a bundle is opened, and its seek table read, once in a task.
+        path = file = reader = None
         for batch in batches:
             for bundle, frame in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                fs, inner = opened(bundle)
-                with fs.open_input_file(inner) as file:
-                    data = BundleReader(file).frame(frame)
+                if bundle != path:
+                    if file:
+                        file.close()
+                    fs, inner = opened(bundle)
+                    path, file = bundle, fs.open_input_file(inner)
+                    reader = BundleReader(file)
                 rows = []
-                for head, http, payload in parse_records(data):
+                for head, http, payload in parse_records(reader.frame(frame)):
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     kind = head["WARC-Type"]
                     if kind == "response" and (bare_digest(payload) != digest or len(payload) != int(http["Content-Length"])):
@@ -228,8 +237,11 @@ def read_bundles(index: DataFrame) -> DataFrame:
                         page_of(head["WARC-Record-ID"]), int(http["Content-Length"]), digest, kind, page_of(head.get("WARC-Refers-To"))))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), RESULT_SCHEMA.types)], schema=RESULT_SCHEMA)
+        if file:
+            file.close()
 
-    return frames.repartition(parts, "bundle", "frame").mapInArrow(run, RESULT)
+    dealt = frames.repartitionByRange(parts, "bundle", "frame").sortWithinPartitions("bundle", "frame")
+    return dealt.mapInArrow(run, RESULT)
 
 
 def op4_warc_bundles(spark, sf_dir: str) -> DataFrame:

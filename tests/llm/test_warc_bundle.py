@@ -39,7 +39,7 @@ def test_odd_pages(spark, tmp_path):
         (5, "u", "same"), (3, "v", "same"), (3, "v", "same"), (9, None, None), (8, "w", ""), (None, "n", "same"), (None, "n", "alone"),
         (1, "x", "long" * 300_000), (2, "y", "é\r\n\r\n")]
     path = str(tmp_path / "pages")
-    spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS record_id").coalesce(1).write.parquet(path)
+    spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS record_id", "3 AS _file", "4 AS _row").coalesce(1).write.parquet(path)
     pages = wb.with_row_ids(spark.read.parquet(path))
     index = wb.write_bundles(wb.decided(pages), str(tmp_path / "bundles"), frame_bytes=100)
     got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in wb.read_bundles(index).collect()), key=str)
@@ -59,3 +59,18 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(path)
     index = wb.write_bundles(wb.decided(wb.with_row_ids(spark.read.parquet(path))), str(tmp_path / "b"))
     assert wb.read_bundles(index).count() == 0
+
+
+def test_a_task_opens_a_bundle_once(spark, tmp_path):
+    """Frames of a bundle lie side by side in the reading tasks."""
+    path = str(tmp_path / "many")
+    spark.createDataFrame([(i, "u", f"page {i} " * 40) for i in range(300)], "page_id long, url string, html string").repartition(3).write.parquet(path)
+    index = wb.write_bundles(wb.decided(wb.with_row_ids(spark.read.parquet(path))), str(tmp_path / "out"), frame_bytes=1000)
+    frames = index.select("bundle", "frame").distinct()
+    bundles = index.select("bundle").distinct().count()
+    parts = frames.repartitionByRange(max(1, frames.count() // wb.READ_FRAMES), "bundle", "frame")
+    opened = parts.selectExpr("spark_partition_id() AS p", "bundle").distinct().count()
+    assert frames.count() > 90 and opened <= parts.rdd.getNumPartitions() + bundles
+    assert wb.read_bundles(index).count() == 300
+    with pytest.raises(ValueError):
+        wb.BundleWriter(None, frame_bytes=1 << 31)
