@@ -1,12 +1,18 @@
 """URL filter, line dedup and mixing: SQL on the tables, plain Python on odd inputs, plans without Python."""
 
 import hashlib
+import math
+import random
 import re
-from collections import defaultdict
+import statistics
+from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from check_oracle import compare
 
+from pyspark.sql import functions as F
+
 from saleslens.llm import line_spread, mixing, url_lm
 from saleslens.llm.queries import ORACLES, QUERIES
 
@@ -30,8 +36,9 @@ def brute_mix(rows, seed=17):
     def size(t):
         return len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
-    def key(epochs, doc):
-        return int(hashlib.md5(f"{seed}:{epochs}:{'null' if doc is None else doc}".encode()).hexdigest()[:15], 16)
+    def key(epochs, doc, nth):
+        text = f"{seed}:{epochs}:{'null' if doc is None else doc}" + (f":{nth}" if nth else "")
+        return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
     by = defaultdict(list)
     for doc, text, source in rows:
@@ -49,21 +56,20 @@ def brute_mix(rows, seed=17):
     out = []
     for s in names:
         epochs = int(target[s] // max(1, total[s]))
-        budget, units, at, taken = target[s] - epochs * total[s], defaultdict(int), 0, set()
-        for doc, n in by[s]:
-            units[key(epochs, doc), doc] += n
-        for (k, doc), n in sorted(units.items(), key=lambda u: u[0][0]):
-            if at < budget and at + n / 2 <= budget:
-                taken.add(doc)
+        budget, at, ids, seen, units = target[s] - epochs * total[s], 0, Counter(d for d, _ in by[s]), Counter(), []
+        for doc, n in sorted(by[s], key=lambda r: r[1]):
+            seen[doc] += 1
+            units.append((key(epochs, doc, seen[doc] if ids[doc] > 1 else 0), doc, n))
+        for _, doc, n in sorted(units, key=lambda u: u[0]):
+            out.append((doc, n, total[s], round(target[s], 6), n * (epochs + (at < budget and at + n / 2 <= budget))))
             at += n
-        out += [(doc, n, total[s], round(target[s], 6), n * (epochs + (doc in taken))) for doc, n in by[s]]
     return sorted(out, key=str)
 
 
 def mixed(spark, rows):
-    docs = spark.createDataFrame([(d, t, s, 5, "k") for d, t, s in rows], "doc_id long, text string, source string, size int, key string")
-    sizes, plan = mixing.mix(docs)
-    out = mixing.with_copies(sizes, plan).collect()
+    docs = spark.createDataFrame(
+        [(d, t, s, 5, "k", 1, 2) for d, t, s in rows], "doc_id long, text string, source string, size int, key string, nth int, row int")
+    out = mixing.mix(docs).collect()
     return sorted(((r.doc_id, r["size"], r.source_size, round(r.target, 6), r["size"] * r.copies) for r in out), key=str)
 
 
@@ -77,6 +83,24 @@ def test_mix_of_odd_sources(spark, monkeypatch):
     assert mixed(spark, []) == [] and mixed(spark, [(1, None, None)]) == brute_mix([(1, None, None)])
 
 
+def test_repeated_and_missing_ids_are_drawn_one_by_one(spark, duck, monkeypatch):
+    """Sources whose rows share an id, or have none, come near their targets, as SQL draws them."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 16)
+    rows = [(None, "w " * (1 + i % 9), "none") for i in range(300)] + [(5, "w " * (1 + i % 7), "one id") for i in range(200)]
+    rows += [(i % 40, "w " * (1 + i % 11), "few ids") for i in range(240)] + [(1000 + i, "w " * 30, "own ids") for i in range(200)] + [(None, "w w", None)]
+    got = mixed(spark, rows)
+    assert got == brute_mix(rows)
+    import pandas as pd
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"})  # noqa: F841
+    con = duckdb.connect()
+    con.register("documents", documents)
+    assert sorted(((d, n, s, round(t, 6), k) for d, n, s, t, k in con.sql(mixing.OP6_SQL).fetchall()), key=str) == got
+    taken = defaultdict(int)
+    for _, _, size, target, k in got:
+        taken[size, target] += k
+    assert all(abs(k - target) <= 6 for (_, target), k in taken.items())
+
+
 def test_mix_comes_near_its_targets(spark):
     out = mixing.op6_mixing(spark, "/root/testdata/sf0.1").groupBy("source_size").agg({"target": "max", "taken": "sum"}).collect()
     assert len(out) == 20 and all(abs(r[1] - r[2]) < 0.02 * r[1] for r in out)
@@ -116,9 +140,19 @@ def brute_lines(rows, min_sites):
 
 
 def cleaned(spark, rows, min_sites):
-    docs = spark.createDataFrame([(d, t, s, 1, "h") for d, t, s in rows], "doc_id long, text string, source string, pos int, h string")
+    docs = spark.createDataFrame(
+        [(d, t, s, 1, "h", "o", 2, 3) for d, t, s in rows],
+        "doc_id long, text string, source string, pos int, h string, own string, n_removed int, _gone int")
     out = line_spread.remove_boilerplate(docs, min_sites).collect()
-    return sorted(((r.doc_id, r._lines, r._removed, r.text) for r in out), key=str)
+    return sorted(((r.own.doc_id, r.n_lines, r.n_removed, r.text) for r in out), key=str)
+
+
+def test_the_second_hash_does_not_follow_from_the_first(spark):
+    """Hashing anything with the first hash as its seed must not give the second one."""
+    docs = spark.createDataFrame([(i, f"line {i}", "s") for i in range(50)], "doc_id long, text string, source string")
+    rows = line_spread.lines(docs).withColumns({"line": F.concat(F.lit("line "), "doc_id")})
+    chained = rows.select("h", "g", F.xxhash64("line", F.lit(1)).alias("chained"), F.xxhash64("line").alias("first")).collect()
+    assert all(r.h == r["first"] and r.g != r.chained for r in chained) and len({r.g for r in chained}) == 50
 
 
 def test_lines_of_odd_documents(spark):
@@ -173,3 +207,79 @@ def test_urls_without_examples(spark):
     assert judged(spark, []) == {}
     assert {v[3] for v in judged(spark, ["http://a.net/", None]).values()} == {"allow"}
     assert judged(spark, ["http://a.com/de/"] * 20 + ["http://b.net/x"])[20][2] is None
+
+
+def brute_judge(urls):
+    """Verdicts of undecided urls by plain dictionaries; decided ones are taught by their rule."""
+    def grams(url):
+        tail = url.split("://", 1)[1] if url and "://" in url else ""
+        padded = url_lm.START * url_lm.ORDER + tail
+        return [padded[i:i + url_lm.ORDER + 1] for i in range(len(tail))]
+
+    def rule(url):
+        if not url or "://" not in url:
+            return None
+        rest = url.split("://", 1)[1]
+        host = re.split("[/?#]", rest)[0].lower()
+        path = re.split("[?#]", rest[len(host):])[0]
+        fits = [(len(r), v) for v, r in url_lm.RULES if ("." + host).endswith("." + r.split("/")[0]) and path.startswith(r[r.index("/"):])]
+        return max(fits)[1] if fits else None
+
+    known = [rule(u) for u in urls]
+    fold = [int(hashlib.md5(f"3:{u}".encode()).hexdigest()[:15], 16) % 5 if v else None for u, v in zip(urls, known)]
+    counts = {v: Counter() for v in ("allow", "block")}
+    for u, v, f in zip(urls, known, fold):
+        if v and f:
+            for g in grams(u):
+                for k in range(url_lm.ORDER + 1):
+                    counts[v][g[-k - 1:]] += 1
+    letters = {g for c in counts.values() for g in c if len(g) == 1}
+    after = {v: defaultdict(lambda: [0, 0]) for v in counts}
+    for v, c in counts.items():
+        for g, n in c.items():
+            after[v][g[:-1], len(g)][0] += n
+            after[v][g[:-1], len(g)][1] += 1
+
+    def p(v, g, k):
+        below = p(v, g, k - 1) if k else 1 / (len(letters) + 1)
+        n, t = after[v].get((g[-k - 1:-1], k + 1), (0, 0))
+        return (counts[v][g[-k - 1:]] + t * below) / (n + t) if n else below
+
+    def score(url):
+        own = [math.log(p("allow", g, url_lm.ORDER)) - math.log(p("block", g, url_lm.ORDER)) for g in grams(url)]
+        return sum(own) / len(own) if own else 0.0
+
+    held = {v: [score(u) for u, w, f in zip(urls, known, fold) if w == v and f == 0] for v in counts}
+    (ma, sa), (mb, sb) = ((statistics.fmean(x), statistics.pstdev(x)) if x else (None, None) for x in held.values())
+    cut = 0.0 if ma is None or mb is None else (ma * sb + mb * sa) / (sa + sb) if sa + sb else (ma + mb) / 2
+    return [v or ("allow" if score(u) >= cut else "block") for u, v in zip(urls, known)], [None if v else score(u) for u, v in zip(urls, known)]
+
+
+@pytest.mark.parametrize("good,bad", [("1", "7"), ("?", "&"), ("é", "ß"), ("A", "a"), ("seven", "eleven")])
+def test_any_character_can_part_the_classes(spark, good, bad):
+    """Hosts and words are drawn alike; only a digit, a sign, a letter beyond ASCII, case or a long context differs."""
+    rng = random.Random(3)
+    words = ["alpha", "beta", "gamma", "delta"]
+
+    def tail(mark):
+        return "".join(rng.choice(words) + mark for _ in range(3)) + rng.choice(words)
+
+    urls = [f"http://x.com/fr/{tail(good)}" for _ in range(120)] + [f"http://x.com/de/{tail(bad)}" for _ in range(120)]
+    urls += [f"http://y.net/{tail(good)}" for _ in range(30)] + [f"http://y.net/{tail(bad)}" for _ in range(30)] + [None, "http://", "none"]
+    pages = spark.createDataFrame([(i, u, 1, "s") for i, u in enumerate(urls)], "page_id long, url string, row int, score string")
+    got = {r.page_id: r for r in url_lm.judge(pages).collect()}
+    assert [got[i].verdict for i in range(240, 300)] == ["allow"] * 30 + ["block"] * 30
+    want, scores = brute_judge(urls)
+    assert [got[i].verdict for i in range(len(urls))] == want
+    assert all(got[i].score == pytest.approx(s, abs=1e-9) for i, s in enumerate(scores) if s is not None)
+
+
+def test_hot_grams_are_few(spark, monkeypatch):
+    """Grams that are joined by broadcast give the same scores as the others."""
+    urls = [f"http://same.host.com/{k}/{i % 7}" for i in range(150) for k in ("fr", "de", "es")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    runs = []
+    for hot in (1, 4096):
+        monkeypatch.setattr(url_lm, "HOT", hot)
+        runs.append(sorted((r.page_id, r.verdict, r.score) for r in url_lm.judge(pages).collect()))
+    assert runs[0] == runs[1]
