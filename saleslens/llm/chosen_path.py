@@ -357,13 +357,19 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node of each connected component of undirected edges (a, b).
 
-    Labels spread to neighbours as minima, which are pre-aggregated, and jump along
+    A node is the ``a`` of few edges.  These shrink first: ``a`` keeps the edge to its
+    smallest neighbour, and its other neighbours are tied to that one, which for the
+    centers and roots that very many nodes share are always the same few ties.
+    Labels then spread to neighbours as minima, which are pre-aggregated, and jump along
     labels, so the rounds grow with the logarithm of the longest path.
     """
-    both = edges.where("a <> b")
-    if both.isEmpty():
+    some = edges.where("a <> b")
+    if some.isEmpty():
         return edges.sparkSession.createDataFrame([], "node bigint, comp bigint")
     scratch = Scratch(edges.sparkSession)
+    tied = some.withColumn("least", F.min("b").over(W.partitionBy("a")))
+    others = tied.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    both = tied.groupBy("a").agg(F.min("b").alias("b")).unionByName(others)
     both = scratch.keep(both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "both-ways")
     labels = scratch.keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
     while True:

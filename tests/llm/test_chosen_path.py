@@ -158,3 +158,22 @@ def test_helpers():
 def test_recall_holds_at_every_depth():
     for depth in (1, 2, 3, 6, 20, 1000):
         assert 1 - (1 - cp.survival(depth)) ** cp.runs_for(cp.RECALL) >= cp.RECALL
+
+
+def test_components_of_any_graph(spark):
+    rng = random.Random(12)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(260)] + [(1000 + i, 999) for i in range(200)] + [(1000 + i, 998) for i in range(0, 200, 3)]
+    edges += [(2000 + i, 2001 + i) for i in range(100)] + [(7, 7), (5000, 5001), (5001, 5000), (998, -4)]
+    parent = {n: n for e in edges for n in e}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    want = {n: root(n) for e in edges for n in e if e[0] != e[1]}
+    got = {r.node: r.comp for r in cp.components(spark.createDataFrame(edges, cp.EDGES)).collect()}
+    assert got == want
