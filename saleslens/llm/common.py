@@ -42,6 +42,24 @@ def prefix_sums(df: DataFrame, order: list[str], sums: dict[str, Column]) -> Dat
         *df.columns, *[(F.sum(f"_v_{k}").over(inside) + F.col(f"_s_{k}")).alias(k) for k in sums])
 
 
+#: Keys on more than one in HOT_SHARE of all rows are at most HOT_SHARE, and so may be broadcast.
+HOT_SHARE = 4096
+
+
+def left_join_hot(rows: DataFrame, table: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which is written and has one row per key with its number ``n`` of rows.
+
+    Keys with a large share of the rows are joined by broadcast, all others by a
+    shuffle, so no key gathers its rows in one task.
+    """
+    total = table.agg(F.sum(n).alias("t")).scalar()
+    hot = F.col(n) * HOT_SHARE > total
+    new = [c for c in table.columns if c != key]
+    often = rows.join(F.broadcast(table.where(hot).withColumn("_hot", F.lit(True))), key, "left")
+    seldom = often.where("_hot is null").drop("_hot", *new).join(table.where(~hot), key, "left")
+    return often.where("_hot").drop("_hot").unionByName(seldom)
+
+
 class Scratch:
     """Written tables of one job, each deleted as soon as no later step reads it.
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chosen_path import grouped, mix
-from .common import materialize, read
+from .common import left_join_hot, materialize, read
 
 SHARD_KEYS, SLOTS, FIRST_BUCKETS, MAX_TURNS = 8192, 4, 64, 300
 CHUNK = 2048  # changes that a shard looks up at once
@@ -344,12 +344,13 @@ def lookup(index: CuckooIndex, rows: DataFrame) -> DataFrame:
 def exact_groups(rows: DataFrame, index: CuckooIndex) -> DataFrame:
     """One row per row of the index: doc_id, keep_id, group_size, kept, digest.
 
-    Digests of one row need no look at the index; the others meet one entry each.
+    Digests of one row need no look at the index; the others meet one entry each, those
+    with a large share of all rows by broadcast.
     """
     groups = index.entries.where("n > 1").select(
-        F.col("digest").alias("_d"), F.col("n").alias("_n"), F.col("doc_id").alias("_keep"), F.col("row").alias("_keep_row"))
-    joined = rows.join(groups, F.col("digest") == F.col("_d"), "left")
-    alone = F.col("_d").isNull()
+        "digest", F.col("n").alias("_n"), F.col("doc_id").alias("_keep"), F.col("row").alias("_keep_row"))
+    joined = left_join_hot(rows.select("doc_id", "digest", "row"), groups, "digest", "_n")
+    alone = F.col("_n").isNull()
     return joined.select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.coalesce("_n", F.lit(1).cast("bigint")).alias("group_size"), F.coalesce(F.col("row") == F.col("_keep_row"), F.lit(True)).alias("kept"), "digest")

@@ -17,7 +17,7 @@ How it scales: texts are read once, by Arrow batches in their own tasks, and lea
 as a mask and a digest.  Two shuffles of such rows follow: by digest (equal texts)
 and by doc_id (labels); equal digests are first counted map-side, so a text that a
 third of all rows share is one row per task, and only texts that occur more than once
-meet their rows again.  Parts are counted map-side; one row per part is expanded.
+meet their rows again, those with a large share of the rows by broadcast.  Parts are counted map-side; one row per part is expanded.
 
 Defined results: NULL text counts as empty (and fails the filter on few words); a
 NULL source and an empty one are one part; a NULL doc_id is neither smaller nor
@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import left_join_hot, materialize, read
 from .quality_mil import text_parts
 
 LETTERS = "ABCDE"
@@ -96,9 +96,10 @@ def failures(docs: DataFrame) -> DataFrame:
 
 
 def with_repetitions(rows: DataFrame) -> DataFrame:
-    """``rows`` with the bit of filter E where a smaller doc_id has the same text."""
-    repeated = rows.groupBy("digest").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
-    joined = rows.join(repeated.select(F.col("digest").alias("_d"), "_first"), F.col("digest") == F.col("_d"), "left")
+    """``rows`` (written) with the bit of filter E where a smaller doc_id has the same text."""
+    repeated = materialize(rows.groupBy("digest").agg(
+        F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_first < _last").drop("_last"), "repeated")
+    joined = left_join_hot(rows, repeated, "digest", "_n")
     bit = F.when(F.col("doc_id") > F.col("_first"), 1 << LETTERS.index("E")).otherwise(0)
     return joined.select("doc_id", "part", F.col("mask").bitwiseOR(bit).alias("mask"))
 

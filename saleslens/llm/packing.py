@@ -38,6 +38,10 @@ CHUNK_BYTES, MEMORY_WORDS = 2 << 20, 200_000
 ENCODED = 2000
 
 
+#: Texts on which a tokenizer that keeps white space or case, or joins letters and marks, differs from its words.
+PROBES = ["The cat, it's 42 dogs!\n\tAnd  more: x.y;z|w", " lead and trail ", "ÉTUDE é#1 & co* 50%", "A\r\nB", "word.Word,word"]
+
+
 class WordTokenizer:
     """Exact ids of a tokenizer that drops white space and case, word by word.
 
@@ -53,6 +57,10 @@ class WordTokenizer:
         self.encoder = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        whole = [self.encoder.encode(t, add_special_tokens=False).ids for t in PROBES]
+        ids, counts = self.encode(pa.array(PROBES))
+        if [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] != whole:
+            raise ValueError(f"{path} is no tokenizer that works word by word and without case")
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
         parts = [self.known.get(w) or self.older.get(w) for w in words]

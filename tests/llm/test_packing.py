@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -85,3 +86,11 @@ def test_query_packs_tightly(spark):
     rows = packing.op10_packing(spark, folder).collect()
     by = check(rows, docs)
     assert sum(r.length for r in rows) / (4096 * len(by)) > 0.98
+
+
+def test_other_tokenizers_are_refused():
+    """One that keeps white space and case would give wrong ids word by word."""
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="word by word"):
+        packing.WordTokenizer(str(public_tokenizers.path("byte_bpe_50k.json")))
