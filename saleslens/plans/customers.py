@@ -296,7 +296,8 @@ def net_clv_by_cohort(t: Tables, cap: float = 0.97) -> DataFrame:
     cohorts = cohort_by_campaign_day(t, live_orders(t.orders)).select("customer_id", "is_promo")
     # One row per customer, read for the cap, the sizes and the medians.
     values = materialize(cohorts.join(net_value(t), "customer_id").where(F.col("net_clv").isNotNull()), "clv")
-    limit = exact_quantiles(values, [], "net_clv", {"q": cap}).scalar()
+    # One row, read wherever a value is capped; written, the search for it is planned once.
+    limit = materialize(exact_quantiles(values, [], "net_clv", {"q": cap}), "clv-cap").scalar()
     capped = values.withColumn("capped", F.least(F.col("net_clv"), limit))
     sizes = values.groupBy("is_promo").agg(F.count(F.lit(1)).alias("n_customers"))
     medians = exact_quantiles(capped, ["is_promo"], "capped", {"median_clv": 0.5})

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import exact_mean, exact_sum, geometric_growth, rate_where, ratio, round6
+from ..operators.distinct import daily_bitmaps, distinct_counts
 from ..operators import relational as R
 from ..operators.order_stats import exact_quantiles
 from ..operators.windows import lag_value
@@ -65,11 +66,9 @@ def _(t):
 SELECT CAST(year(order_date) AS INT) AS year, count(DISTINCT customer_id) AS n_customers, count(DISTINCT o.order_id) AS n_orders, count(DISTINCT product_id) AS n_products
 FROM orders_v o JOIN items_v i ON o.order_id = i.order_id GROUP BY 1""")
 def _(t):
-    # One distinct count per aggregate: several at once would multiply every line.
-    lines = t.lines.withColumn("year", F.year("order_date"))
-    orders = lines.groupBy("year", "order_id", "customer_id").agg(F.lit(1).alias("one"))
-    return orders.groupBy("year").agg(F.countDistinct("customer_id").alias("n_customers"), F.count("order_id").alias("n_orders")).join(
-        lines.groupBy("year").agg(F.countDistinct("product_id").alias("n_products")), "year")
+    # One scan; days roll up to any coarser period.
+    ids = {"n_customers": "customer_id", "n_orders": "order_id", "n_products": "product_id"}
+    return distinct_counts(daily_bitmaps(t.lines, "order_date", ids), list(ids), {"year": F.year("date")})
 
 
 @query("agg_conditional", """

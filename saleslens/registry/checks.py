@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import day, exact_mean
+from ..functions import day, exact_mean, exact_sum
 from ..operators import quality as Q
 from ..operators.joins import calendar
 from ..plans.daily import base_table
@@ -143,8 +143,12 @@ CONSTANT = " UNION ALL ".join(
         f"concat('values=', count(DISTINCT {c}))") + " FROM inventory_v" for c in ("reorder_flag", "stockout_flag"))
 
 
+def constants_of(inventory):
+    return Q.TableChecks(inventory, "inventory").constant("reorder_flag", 0).constant("stockout_flag", 0).report()
+
+
 def constants(t):
-    return Q.TableChecks(t.inventory, "inventory").constant("reorder_flag", 0).constant("stockout_flag", 0).report()
+    return constants_of(t.inventory)
 
 
 @query("dq_constant", CONSTANT)
@@ -169,11 +173,35 @@ def _(t):
 PARTS = " UNION ALL ".join(f"SELECT * FROM ({x})" for x in (ROW_COUNT, NULL_RATE, FK, POSITIVE, DATES, ORDER, CONSTANT, HIGH_NULL))
 
 
+def fused_report(t):
+    """All checks above: one scan for the checks of each table, and one of the lines, orders and products for what is derived from their join."""
+    audit = Q.FusedChecks(t.spark)
+    audit.table(t.raw("orders").select("*", F.to_date("o_orderdate").alias("order_date")).withColumnsRenamed(
+        {"o_orderkey": "order_id", "o_custkey": "customer_id"}), "orders").row_count(15_000).date_range(
+        "order_date", day("1995-01-01"), day("2001-08-01")).foreign_key("customer_id", "orders->customers").key("order_id", "order_items->orders").done()
+    lines = t.raw("lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.to_date("l_shipdate").alias("return_date"),
+        (F.col("l_returnflag") == "R").alias("returned"))
+    audit.table(lines, "order_items").row_count(600_000).row_count(-1).foreign_key("order_id", "order_items->orders").foreign_key(
+        "product_id", "order_items->products").key("order_id", "reviews->order_items").date_range(
+        "return_date", day("1995-01-01"), day("2001-06-30"), table="returns", where=F.col("returned")).done()
+    balance = t.raw("customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_nationkey").alias("zip"), "c_acctbal", t.age_group.alias("age_group"))
+    audit.table(balance, "customers").null_rate(["customer_id", "zip", "age_group"]).positive("c_acctbal").key("customer_id", "orders->customers").done()
+    audit.table(t.products, "products").column_order("cogs", "price").key("product_id", "order_items->products").done()
+    audit.table(t.reviews, "reviews").foreign_key("order_id", "reviews->order_items").done()
+    sold = t.stored("sold_products")
+    sales = sold.where("known").groupBy(F.col("order_date").alias("date")).agg(exact_sum("revenue").alias("revenue"), exact_sum("cogs").alias("cogs"))
+    months = sold.groupBy(F.last_day("order_date").alias("snapshot_date"), "product_id").agg(F.sum("quantity").alias("units_sold"))
+    promos = sold.agg(F.sum("n").alias("n"), F.sum("n_promo").alias("promo_id"), F.sum("n_promo_2").alias("promo_id_2"))
+    return Q.combine([
+        audit.report(), Q.TableChecks(sales, "sales").positive("revenue").positive("cogs").report(),
+        constants_of(t.inventory_of(months)), Q.high_null_counts(promos, "order_items", "n", ["promo_id", "promo_id_2"])])
+
+
 @query("dq_report", f"""
 SELECT status, count(*) AS n_checks, CAST(sum(n_violations) AS BIGINT) AS n_violations FROM ({PARTS}) GROUP BY 1""")
 def _(t):
-    return Q.totals(Q.combine([
-        *row_counts(t), null_rates(t), *foreign_keys(t), *positives(t), *date_ranges(t), column_orders(t), constants(t), high_nulls(t)]))
+    return Q.totals(fused_report(t))
 
 
 @query("dq_base_table", """

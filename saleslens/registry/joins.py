@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import exact_sum, ratio, shift_years
+from ..functions import exact_sum, ratio
 from ..operators import joins as J
 from ..operators.relational import complete_keys
 from ..plans.customers import first_orders, period_retention, top_customers_lost
@@ -125,13 +125,15 @@ def _(t):
     return nearest_major_promo(days, t.promotions)
 
 
-# Order days moved 20 years on, so that they meet the listed lunar new years.
-HOLIDAY_SQL = """
-WITH days AS (SELECT DISTINCT CAST(order_date + INTERVAL 20 YEAR AS DATE) AS date FROM orders_v),
+# First day of the lunar new year, 1991 to 2003; the queries compute it.
+LUNAR_SQL = "[" + ", ".join(f"DATE '{d}'" for d in [
+    "1991-02-15", "1992-02-04", "1993-01-23", "1994-02-10", "1995-01-31", "1996-02-19", "1997-02-07", "1998-01-28", "1999-02-16",
+    "2000-02-05", "2001-01-24", "2002-02-12", "2003-02-01"]) + "]"
+HOLIDAY_SQL = f"""
+WITH days AS (SELECT DISTINCT order_date AS date FROM orders_v),
 years AS (SELECT unnest(range(min(year(date)) - 1, max(year(date)) + 2)) AS y FROM days),
 marks AS (SELECT make_date(CAST(y AS INT), m, d) AS h FROM years, (VALUES (4, 30), (5, 1), (9, 2), (12, 25)) f(m, d)
-          UNION SELECT unnest([DATE '2012-01-23', DATE '2013-02-10', DATE '2014-01-31', DATE '2015-02-19', DATE '2016-02-08', DATE '2017-01-28', DATE '2018-02-16',
-                               DATE '2019-02-05', DATE '2020-01-25', DATE '2021-02-12', DATE '2022-02-01', DATE '2023-01-22', DATE '2024-02-10']))
+          UNION SELECT unnest({LUNAR_SQL}))
 """
 
 
@@ -140,7 +142,7 @@ SELECT date, CAST(coalesce(min(date_diff('day', date, h)) FILTER (WHERE h >= dat
        CAST(coalesce(min(date_diff('day', h, date)) FILTER (WHERE h < date), 999) AS INT) AS days_from_last
 FROM days, marks GROUP BY 1""")
 def _(t):
-    days = t.orders.select(shift_years("order_date", 20).alias("date")).distinct()
+    days = t.orders.select(F.col("order_date").alias("date")).distinct()
     return J.nearest_marks(days, holiday_calendar(days, "date"))
 
 

@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import day, exact_sum, ratio, round6, shift_years
+from ..functions import day, exact_sum, ratio, round6
 from ..operators import windows as Wn
 from ..operators.relational import share_within
 from ..plans import features as X
 from ..plans.daily import inventory_snapshots
 from ..plans.market import monthly_sales
 from .base import query
-from .joins import HOLIDAY_SQL
+from .joins import HOLIDAY_SQL, LUNAR_SQL
 from .views_sql import dmean, dsum
 
 SERIES = ["series_key"]
@@ -149,17 +149,14 @@ def _(t):
     return X.trend_features(t.panel, "date", SERIES).select("series_key", "date", "trend_index", "trend_index_sq")
 
 
-@query("feat_holidays", HOLIDAY_SQL + """,
-tet AS (SELECT unnest([DATE '2012-01-23', DATE '2013-02-10', DATE '2014-01-31', DATE '2015-02-19', DATE '2016-02-08', DATE '2017-01-28', DATE '2018-02-16',
-                       DATE '2019-02-05', DATE '2020-01-25', DATE '2021-02-12', DATE '2022-02-01', DATE '2023-01-22', DATE '2024-02-10']) AS h)
+@query("feat_holidays", HOLIDAY_SQL + f""", tet AS (SELECT unnest({LUNAR_SQL}) AS h)
 SELECT date, CASE WHEN (SELECT min(abs(date_diff('day', date, h))) FROM tet) <= 7 THEN 1 ELSE 0 END AS is_tet,
        CASE WHEN month(date) = 4 AND day(date) = 30 THEN 1 ELSE 0 END AS is_30_4, CASE WHEN month(date) = 5 AND day(date) = 1 THEN 1 ELSE 0 END AS is_1_5,
        CASE WHEN month(date) = 9 AND day(date) = 2 THEN 1 ELSE 0 END AS is_2_9, CASE WHEN month(date) = 12 AND day(date) = 25 THEN 1 ELSE 0 END AS is_christmas,
        CAST(coalesce((SELECT min(date_diff('day', date, h)) FROM marks WHERE h >= date), 999) AS INT) AS days_to_next_holiday,
        CAST(coalesce((SELECT min(date_diff('day', h, date)) FROM marks WHERE h < date), 999) AS INT) AS days_from_last_holiday FROM days""")
 def _(t):
-    # Order days are moved 20 years on to meet the listed lunar new years.
-    return X.holiday_features(t.orders.select(shift_years("order_date", 20).alias("date")).distinct())
+    return X.holiday_features(t.orders.select(F.col("order_date").alias("date")).distinct())
 
 
 @query("feat_fourier", TREND_SQL + " SELECT p.series_key, p.date, " + ", ".join(

@@ -53,6 +53,34 @@ def read_typed_csv(spark: SparkSession, path: str, schema: StructType) -> DataFr
     )
 
 
+def read_csv_with_quarantine(
+    spark: SparkSession, path: str, schema: StructType, max_bad_share: float = 0.01,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of CSV files with a header.
+
+    A line with a bad number, a bad date or a wrong number of fields goes to the
+    quarantine, (file, line), and does not stop the job; a share of such lines above
+    ``max_bad_share`` does.  The files are parsed once, into a written table.
+    """
+    bad, file = "_bad_line", "_file"
+    parsed = (
+        spark.read.schema(StructType([*schema, StructField(bad, StringType(), True)]))
+        .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, dateFormat="yyyy-MM-dd", columnPruning=False)
+        .csv(path).select("*", F.col("_metadata.file_path").alias(file)))
+    rows = materialize(parsed, "csv-rows")
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.count(bad).alias("bad")).first()
+    if found["bad"] > max_bad_share * found["n"]:
+        worst = bad_lines_by_file(rows.where(F.col(bad).isNotNull()).select(F.col(file).alias("file"))).limit(3).collect()
+        raise ValueError(f"{found['bad']} of {found['n']} lines are bad, most in {[(r['file'], r['n_lines']) for r in worst]}")
+    quarantine = rows.where(F.col(bad).isNotNull()).select(F.col(file).alias("file"), F.col(bad).alias("line"))
+    return rows.where(F.col(bad).isNull()).select(*schema.names), quarantine
+
+
+def bad_lines_by_file(quarantine: DataFrame) -> DataFrame:
+    """(file, n_lines) of a quarantine, most first."""
+    return quarantine.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines")).orderBy(F.desc("n_lines"), "file")
+
+
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     if columns:
@@ -81,6 +109,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int) -> str:
+    """A table of parquet files, one per bucket of ``key`` and sorted by it; two such tables join by the key without a shuffle."""
+    df.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return table
+
+
+def register_bucketed(spark: SparkSession, path: str, table: str, schema: StructType, key: str, buckets: int) -> str:
+    """Make files of ``write_bucketed`` known to a session whose catalog does not have them."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{location}'")
+    return table
+
+
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with header and ISO dates."""
     cols = [

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exact_sum, map_values, shift_years
-from .files import materialize
+from .files import materialize, write_bucketed
 from .schemas import STORED
 
 # Labels of the derived columns.
@@ -30,9 +30,11 @@ TRAFFIC_YEARS_BACK = 24
 class Tables:
     """Views over one data folder."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, tables: dict[str, str] | None = None):
+        """``tables`` names tables of the catalog, bucketed ones say, that stand in for files of the folder."""
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables = dict(tables or {})
         self._stored: dict[str, DataFrame] = {}
 
     def stored(self, name: str) -> DataFrame:
@@ -45,7 +47,15 @@ class Tables:
             self._stored[name] = materialize(getattr(self, name), name)
         return self._stored[name]
 
+    def bucketed(self, path: str, prefix: str, buckets: int) -> Tables:
+        """The same tables with lines and orders written in buckets of the order key, so that their join needs no shuffle."""
+        keys = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+        written = {n: write_bucketed(self.raw(n), f"{path}/{n}", f"{prefix}_{n}", key, buckets) for n, key in keys.items()}
+        return Tables(self.spark, self.folder, written)
+
     def raw(self, name: str) -> DataFrame:
+        if name in self._tables:
+            return self.spark.table(self._tables[name])
         return self.spark.read.schema(STORED[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- orders and lines -------------------------------------------------
@@ -129,14 +139,18 @@ class Tables:
         )
 
     @property
-    def customers(self) -> DataFrame:
+    def age_group(self) -> Column:
+        """The label of a stored customer."""
         balance = F.col("c_acctbal")
+        return F.when(balance < 0, F.lit(None).cast("string")).when(balance < 3000, "18-24").when(balance < 6000, "25-34").otherwise("35+")
+
+    @property
+    def customers(self) -> DataFrame:
         return self.raw("customer").select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_nationkey").alias("zip"),
             F.col("c_mktsegment").alias("acquisition_channel"),
-            F.when(balance < 0, F.lit(None).cast("string"))
-            .when(balance < 3000, "18-24").when(balance < 6000, "25-34").otherwise("35+").alias("age_group"),
+            self.age_group.alias("age_group"),
         )
 
     @property
@@ -234,6 +248,16 @@ class Tables:
         return self.lines.groupBy(F.col("order_date").alias("date")).agg(
             exact_sum(F.col("unit_price") * F.col("quantity")).alias("revenue"))
 
+    @property
+    def sold_products(self) -> DataFrame:
+        """Per order day and product: lines, units, revenue, cost, and lines with a promotion; ``known`` if the product exists."""
+        costs = self.products.select("product_id", F.col("cogs").alias("cost"), F.lit(True).alias("known"))
+        return (
+            self.lines.join(costs, "product_id", "left").groupBy("order_date", "product_id").agg(
+                F.count(F.lit(1)).alias("n"), F.coalesce(F.max("known"), F.lit(False)).alias("known"), F.sum("quantity").alias("quantity"),
+                exact_sum(F.col("unit_price") * F.col("quantity")).alias("revenue"), exact_sum(F.col("quantity") * F.col("cost")).alias("cogs"),
+                F.count("promo_id").alias("n_promo"), F.count("promo_id_2").alias("n_promo_2")))
+
     @property
     def inventory(self) -> DataFrame:
         """Month-end snapshot per product."""

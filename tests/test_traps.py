@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from saleslens.functions import clip, date_flags, day, exact_mean, exact_sum, ratio, shift_months
+from saleslens.functions import clip, date_flags, day, exact_mean, exact_sum, lunar_new_years, ratio, shift_months
 from saleslens.operators import relational as R
 from saleslens.operators import windows as Wn
 from saleslens.operators.joins import nearest_marks, overlap_flag
@@ -67,6 +67,34 @@ def test_strict_holidays_miss_the_neighbour_years(spark):
     assert X.holiday_features(days).first().days_from_last_holiday == 7
 
 
+# First day of the lunar new year, 2012 to 2024, and of years in which it is late, early or after a leap month.
+LUNAR_NEW_YEAR = [
+    "2012-01-23", "2013-02-10", "2014-01-31", "2015-02-19", "2016-02-08", "2017-01-28", "2018-02-16",
+    "2019-02-05", "2020-01-25", "2021-02-12", "2022-02-01", "2023-01-22", "2024-02-10"]
+LUNAR_ODD = ["1968-01-29", "1985-01-21", "2007-02-17", "2030-02-02", "2033-01-31", "2034-02-19", "2099-01-21"]
+
+
+def test_lunar_new_years(spark):
+    """All listed days, and a new year every 353 to 385 days, always from 20 January to 21 February."""
+    years = spark.range(1900, 2101).selectExpr("CAST(id AS INT) AS y")
+    got = {r.y: r.new_year for r in lunar_new_years(years, "y").collect()}
+    for text in LUNAR_NEW_YEAR + LUNAR_ODD:
+        d = dt.date.fromisoformat(text)
+        assert got[d.year] == d, (text, got[d.year])
+    gaps = {(got[y + 1] - got[y]).days for y in range(1900, 2100)}
+    assert gaps <= {353, 354, 355, 383, 384, 385}
+    assert all((1, 20) <= (d.month, d.day) <= (2, 21) for d in got.values())
+
+
+def test_the_model_table_meets_the_lunar_new_year(spark):
+    from saleslens.registry.forecasts import model_rows
+    from saleslens.sources import Tables
+
+    rows = model_rows(Tables(spark, "/root/testdata/sf0.001")).where("is_tet = 1").select("date").distinct().collect()
+    near = {d + dt.timedelta(days=k) for d in (D_(1996, 2, 19), D_(1997, 2, 7), D_(1998, 1, 28), D_(2000, 2, 5)) for k in range(-7, 8)}
+    assert near <= {r.date for r in rows}
+
+
 def test_no_mark_in_reach_gives_the_sentinel(spark):
     days = spark.createDataFrame([(D_(2021, 1, 1),), (D_(2021, 1, 5),)], "date date")
     marks = spark.createDataFrame([(D_(2021, 1, 3),)], "date date")
