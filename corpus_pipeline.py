@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from saleslens.llm.chosen_path import dedup_stage
-from saleslens.llm.common import materialize, read
+from saleslens.llm.common import Scratch, read
 from saleslens.llm.line_spread import line_stage
 from saleslens.llm.mixing import mixing_stage
 from saleslens.llm.packing import packing_stage
@@ -40,7 +40,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows; a stage's table is deleted when the next one is written."""
+    scratch, docs, before = Scratch(spark), read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return docs
