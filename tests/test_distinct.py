@@ -38,6 +38,31 @@ def test_further_keys(rows):
     assert max(len(r.bits) for r in bitmaps.collect()) == 4096
 
 
+def test_bitmaps_are_those_of_the_library(rows):
+    got = daily_bitmaps(rows, "day", {"a": "a", "b": "b"}, by=["part"])
+    for kind in ("a", "b"):
+        want = rows.where(f"{kind} is not null").groupBy(F.col("day").alias("date"), "part", F.bitmap_bucket_number(kind).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(kind)).alias("bits"))
+        own = got.where(F.col("kind") == kind).select(*want.columns)
+        assert sorted(map(str, own.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rows_meet_in_hash_tables(rows):
+    # A sort of all rows, and one of 4 KB bitmaps of days, were what a task's memory grew by.
+    plan = daily_bitmaps(rows, "day", {"a": "a", "b": "b"})._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and " Sort " not in plan
+
+
+def test_the_query_builds_no_bitmaps_of_days(spark, monkeypatch):
+    from saleslens.registry import QUERIES, aggregates
+
+    built = []
+    monkeypatch.setattr(aggregates, "daily_bitmaps", lambda *args: built.append(daily_bitmaps(*args)) or built[-1])
+    QUERIES["agg_distinct_count"](spark, "/root/testdata/sf0.001")
+    dates = {r.date for r in built[0].select("date").distinct().collect()}
+    assert dates and all((d.month, d.day) == (1, 1) for d in dates)
+
+
 def test_no_rows(rows):
     empty = daily_bitmaps(rows.limit(0), "day", {"a": "a"})
     assert [tuple(r) for r in distinct_counts(empty, ["a"]).collect()] == [(0,)]
