@@ -38,6 +38,42 @@ def test_word_by_word_on_any_text(texts):
     assert counts.tolist() == [len(whole(tok, t)) - 1 for t in texts]
 
 
+def test_words_are_encoded_once_and_many_at_a_time():
+    words = packing.WordTokenizer(packing.public_tokenizer())
+    tok, calls = words.encoder, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            calls.append(len(texts))
+            return tok.encode_batch_fast(texts, **options)
+
+    words.encoder = Counting()
+    texts = [" ".join(f"{a}{b}é{c}" for b in "abcdefghij" for c in "klmnopqrst") for a in "uvwxyz"]
+    ids, counts = words.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in whole(tok, t)[:-1]]
+    assert len(calls) == sum(calls) == -(-600 // packing.ENCODED)
+    words.encode(pa.array(texts))
+    assert len(calls) == -(-600 // packing.ENCODED)  # all are remembered
+    assert packing.worker_tokenizer(packing.public_tokenizer()) is packing.worker_tokenizer(packing.public_tokenizer())
+
+
+@pytest.mark.parametrize("text", [packing.MARK, f"a {packing.MARK} b", f"a{packing.MARK}b .{packing.MARK}", f"{packing.MARK}{packing.MARK} c  d"])
+def test_the_mark_in_a_text(text):
+    tok = Tokenizer.from_file(packing.public_tokenizer())
+    ids, _ = packing.WordTokenizer(packing.public_tokenizer()).encode(pa.array([text, "other words"]))
+    assert ids.tolist() == whole(tok, text)[:-1] + whole(tok, "other words")[:-1]
+
+
+def test_forgotten_words_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY_WORDS", 5)
+    words = packing.WordTokenizer(packing.public_tokenizer())
+    tok = words.encoder
+    for texts in (["a b c d"], ["e f g a"], ["h i j k l m n o"], ["a b e z"], ["a"]):
+        ids, _ = words.encode(pa.array(texts))
+        assert ids.tolist() == [i for t in texts for i in whole(tok, t)[:-1]]
+        assert len(words.known) <= 5
+
+
 def test_tournament_tree_is_first_fit():
     rng = random.Random(1)
     lengths = np.array([rng.randint(1, 100) for _ in range(300)])
