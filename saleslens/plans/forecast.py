@@ -11,11 +11,9 @@ from __future__ import annotations
 from calendar import isleap
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.util import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +22,7 @@ from ..functions import MONEY, as_col, clip, day_range, exact_sum, geometric_gro
 from ..operators.joins import left_chain
 from ..operators.windows import lag_value
 from ..sources.files import materialize
-from .boosting import TreeModel, fit_trees
+from .boosting import TreeModel, fit_trees, fit_trees_by
 from .features import feature_table
 
 # -- seasonal forecast --------------------------------------------------------
@@ -302,7 +300,7 @@ def fit_direct(df: DataFrame, keys: list[str], date: str, target: str, features:
 def cross_validate(
     df: DataFrame, keys: list[str], date: str, target: str, features: list[str], hybrid: bool, log: bool = False,
     bounds: tuple[float, float] | None = None, weight: str | None = None, holdout_days: int = 30, alpha: float = 1.0,
-    lower: float = 0.01, upper: float = 0.99, parallelism: int = 5, folds: Mapping[str, int] | None = None, **tree_options,
+    lower: float = 0.01, upper: float = 0.99, folds: Mapping[str, int] | None = None, **tree_options,
 ) -> DataFrame:
     """Validation predictions of every fold, back on the original scale: keys, date, fold, actual, prediction.
 
@@ -310,8 +308,8 @@ def cross_validate(
     residual; else trees on the target, or its log1p.  The newest ``holdout_days``
     of each training part end the training of its trees, so a validation row has no
     say in any prediction.  Trends, residual bounds and levels of all series and folds
-    come from relational jobs keyed by fold; then ``parallelism`` chains of tree
-    fits, one per fold, run side by side.  Only the fold numbers reach the driver.
+    come from relational jobs keyed by fold, and the trees of all folds grow in the
+    same jobs.  Only the fold numbers and the trees reach the driver.
     """
     folds = dict(folds or {})
     known = df.where(F.col(target).isNotNull()).select(*keys, date, target, *features, *([weight] if weight else []))
@@ -328,17 +326,15 @@ def cross_validate(
         rows = tagged.withColumn("_y", F.log1p(target) if log else as_col(target))
     ready = materialize(rows, "fold-rows")
 
+    models = fit_trees_by(ready.where(F.col("role") == "train"), "fold", features, "_y", is_eval=F.col("held"), weight=weight, **tree_options)
+
     def one(fold: int) -> DataFrame:
-        own = ready.where(F.col("fold") == fold)
-        model = fit_trees(own.where(F.col("role") == "train"), features, "_y", is_eval=F.col("held"), weight=weight, **tree_options)
-        out = model.predict(own.where(F.col("role") == "val"), "_p")
+        out = models[fold].predict(ready.where((F.col("fold") == fold) & (F.col("role") == "val")), "_p")
         pred = F.col("trend") + F.col("_p") * F.col("level") if hybrid else F.expm1("_p") if log else F.col("_p")
         return out.select(*keys, date, "fold", F.col(target).alias("actual"), (clip(pred, *bounds) if bounds else pred).alias("prediction"))
 
     numbers = sorted(r["fold"] for r in tagged.select("fold").distinct().collect())
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), numbers))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, map(one, numbers))
 
 
 # -- from predictions to a submission -----------------------------------------

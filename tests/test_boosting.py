@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import uuid
 
 import numpy as np
 import pytest
@@ -150,3 +151,90 @@ def test_tree_leaves_partition_the_rows():
     tree = stump(1, 0.5, 2.0, 3.0, 30, 10)
     leaves = {v: p for v, p in tree.leaves()}
     assert leaves == {2.0: {1: (-math.inf, 0.5, 0.75)}, 3.0: {1: (0.5, math.inf, 0.25)}}
+
+
+def jobs_of(spark, run):
+    """(result, number of jobs) of what this thread runs."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("block_rows", [50_000, 150])
+def test_trees_are_those_of_the_library(spark, monkeypatch, block_rows):
+    """In one block and in several; with weights, few values and a value that is most rows'."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", block_rows)
+    df = panel(spark, 700).withColumns({
+        "d": (F.col("i") % 4).cast("double"), "e": F.when(F.col("b") > 0, F.floor(F.col("b") * 30)).otherwise(0.0)})
+    features = ["a", "b", "c", "d", "e"]
+    model = B.fit_trees(df, features, "y", weight="w", rounds=7, depth=4, step=0.2)
+    ready = VectorAssembler(inputCols=features, outputCol="_x").transform(df)
+    library = GBTRegressor(featuresCol="_x", labelCol="y", weightCol="w", maxIter=7, maxDepth=4, stepSize=0.2, seed=1).fit(ready)
+    want = library.transform(ready).orderBy("i").toPandas()["prediction"]
+    np.testing.assert_allclose(model.predict(df, "p").orderBy("i").toPandas()["p"], want, rtol=1e-9)
+    assert model.ensemble.trees[0].cover[0] == pytest.approx(df.agg(F.sum("w")).first()[0])
+
+
+@pytest.mark.parametrize("block_rows", [50_000, 100])
+def test_fits_by_key_are_those_of_each_key(spark, monkeypatch, block_rows):
+    df = panel(spark, 900).withColumn("k", F.col("i") % 2 + 3)
+    options = {"is_eval": F.col("i") % 5 == 0, "weight": "w", "rounds": 5, "depth": 3, "step": 0.3, "patience": 2}
+    want = {k: B.fit_trees(df.where(F.col("k") == k), ["a", "b", "c"], "y", **options) for k in (3, 4)}
+    monkeypatch.setattr(B, "BLOCK_ROWS", block_rows)
+    got = B.fit_trees_by(df, "k", ["a", "b", "c"], "y", **options)
+    assert set(got) == {3, 4}
+    x = np.random.default_rng(5).normal(size=(200, 3))
+    for k, model in want.items():
+        assert got[k].losses == pytest.approx(model.losses)
+        np.testing.assert_allclose(got[k].ensemble.score(x), model.ensemble.score(x), rtol=1e-9)
+
+
+def test_small_fits_take_as_many_jobs_for_any_rounds_and_fits(spark):
+    df = panel(spark, 300).withColumn("k", F.col("i") % 3)
+
+    def jobs(fit, rounds):
+        return jobs_of(spark, lambda: B.fit_trees_by(df.withColumn("one", F.lit(0)), fit, ["a", "b"], "y", rounds=rounds, depth=3))[1]
+
+    few = jobs("one", 2)
+    assert 0 < few < 15 and jobs("one", 12) == few and jobs("k", 12) == few
+
+
+def test_large_fits_share_the_jobs_of_a_level(spark, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK_ROWS", 50)
+    df = panel(spark, 300).withColumns({"k": F.col("i") % 3, "one": F.lit(0)})
+    one, three = (jobs_of(spark, lambda: B.fit_trees_by(df, fit, ["a", "b"], "y", rounds=2, depth=2))[1] for fit in ("one", "k"))
+    assert one == three
+
+
+def test_unknown_values_count_as_the_largest(spark):
+    df = panel(spark, 300).withColumns({"a": F.when(F.col("i") % 3 == 0, float("nan")).otherwise(F.col("a"))})
+    df = df.withColumn("y", F.when(F.isnan("a"), -8.0).otherwise(F.col("y")))
+    model = B.fit_trees(df, ["a", "b"], "y", rounds=5, depth=3)
+    unknown = df.where(F.isnan("a"))
+    got = [r.p for r in model.predict(unknown, "p").orderBy("i").collect()]
+    assert got == [r.p for r in model.predict(unknown.withColumn("a", F.lit(1e9)), "p").orderBy("i").collect()] and np.mean(got) < -6
+
+
+def test_rows_that_no_tree_can_fit_are_refused(spark):
+    df = panel(spark, 50)
+    for bad, held in ((df.withColumn("y", F.lit(float("nan"))), None), (df.withColumn("w", F.lit(-1.0)), None), (df, F.lit(True)), (df.limit(0), None)):
+        with pytest.raises(ValueError):
+            B.fit_trees(bad, ["a"], "y", is_eval=held, weight="w", rounds=2)
+
+
+def test_summaries_keep_ranks(monkeypatch):
+    rng = np.random.default_rng(2)
+    value, weight = rng.normal(size=50_000), rng.uniform(0.1, 1, 50_000)
+    few = np.floor(value * 10)
+    distinct, total = B.summary(few, weight)
+    assert list(distinct) == sorted(set(few)) and total.sum() == pytest.approx(weight.sum())
+    halves = [B.summary(value[i::2], weight[i::2]) for i in range(2)]
+    merged = B.summary(*(np.concatenate(p) for p in zip(*halves)))
+    assert len(merged[0]) <= B.SUMMARY and merged[1].sum() == pytest.approx(weight.sum())
+    cuts = B.cut_points(*merged)
+    shares = [weight[value <= c].sum() / weight.sum() for c in cuts]
+    np.testing.assert_allclose(shares, np.arange(1, B.BINS) / B.BINS, atol=0.002)
