@@ -183,6 +183,22 @@ class TreeModel:
             (F.col("at") + 1).alias("rank"), F.col("o.feature").alias("feature"), (-F.col("o.minus")).alias("importance"))
 
 
+def predict_by(df: DataFrame, fit: str, models: dict[int, TreeModel], name: str) -> DataFrame:
+    """``TreeModel.predict`` with the model of each row's ``fit``, in one pass for all of them."""
+    ensembles = {f: model.ensemble for f, model in models.items()}
+    features = next(iter(ensembles.values())).features
+
+    @F.pandas_udf("double")
+    def score(fits: pd.Series, x: pd.DataFrame) -> pd.Series:
+        rows, own = x.to_numpy(dtype=float), fits.to_numpy()
+        out = np.empty(len(rows))
+        for f in np.unique(own):
+            out[own == f] = ensembles[int(f)].score(rows[own == f])
+        return pd.Series(out)
+
+    return df.withColumn(name, score(F.col(fit).cast("int"), F.struct(*[F.col(c).cast("double").alias(c) for c in features])))
+
+
 def hashed_sample(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataFrame:
     """``n`` rows that the seed picks by a hash of their keys; the same ones in every run."""
     return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)

@@ -12,7 +12,6 @@ from calendar import isleap
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,7 +21,7 @@ from ..functions import MONEY, as_col, clip, day_range, exact_sum, geometric_gro
 from ..operators.joins import left_chain
 from ..operators.windows import lag_value
 from ..sources.files import materialize
-from .boosting import TreeModel, fit_trees, fit_trees_by
+from .boosting import TreeModel, fit_trees, fit_trees_by, predict_by
 from .features import feature_table
 
 # -- seasonal forecast --------------------------------------------------------
@@ -309,7 +308,7 @@ def cross_validate(
     of each training part end the training of its trees, so a validation row has no
     say in any prediction.  Trends, residual bounds and levels of all series and folds
     come from relational jobs keyed by fold, and the trees of all folds grow in the
-    same jobs.  Only the fold numbers and the trees reach the driver.
+    same jobs and score in one pass.  Only the trees reach the driver.
     """
     folds = dict(folds or {})
     known = df.where(F.col(target).isNotNull()).select(*keys, date, target, *features, *([weight] if weight else []))
@@ -327,14 +326,9 @@ def cross_validate(
     ready = materialize(rows, "fold-rows")
 
     models = fit_trees_by(ready.where(F.col("role") == "train"), "fold", features, "_y", is_eval=F.col("held"), weight=weight, **tree_options)
-
-    def one(fold: int) -> DataFrame:
-        out = models[fold].predict(ready.where((F.col("fold") == fold) & (F.col("role") == "val")), "_p")
-        pred = F.col("trend") + F.col("_p") * F.col("level") if hybrid else F.expm1("_p") if log else F.col("_p")
-        return out.select(*keys, date, "fold", F.col(target).alias("actual"), (clip(pred, *bounds) if bounds else pred).alias("prediction"))
-
-    numbers = sorted(r["fold"] for r in tagged.select("fold").distinct().collect())
-    return reduce(DataFrame.unionByName, map(one, numbers))
+    out = predict_by(ready.where(F.col("role") == "val"), "fold", models, "_p")
+    pred = F.col("trend") + F.col("_p") * F.col("level") if hybrid else F.expm1("_p") if log else F.col("_p")
+    return out.select(*keys, date, "fold", F.col(target).alias("actual"), (clip(pred, *bounds) if bounds else pred).alias("prediction"))
 
 
 # -- from predictions to a submission -----------------------------------------
